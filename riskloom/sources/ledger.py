@@ -12,6 +12,8 @@ depend on the order in which tasks finish.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,11 +39,13 @@ def _bit(index: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), index.cast("int"))
 
 
-def event_rows(events: DataFrame) -> DataFrame:
+def event_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One row per event with its integer key ``k``, cents, calendar day and the flags history needs."""
     k = F.regexp_extract("props", r"(\d+)", 1).try_cast("bigint")
     return (
-        events.select("event_id", "user_id", "ts", "value", (F.col("event_type") == "error").cast("int").alias("fraud"), k.alias("k"))
+        events.select(
+            "event_id", "user_id", "ts", "value", (F.col("event_type") == "error").cast("int").alias("fraud"), k.alias("k"), *keep
+        )
         .withColumn("day", F.date_diff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")))
         .withColumn("cents", F.floor(F.col("value") * 100 + 0.5))
     )
@@ -83,9 +87,9 @@ def daily_history(rows: DataFrame) -> DataFrame:
     )
 
 
-def transactions(events: DataFrame) -> DataFrame:
-    """``event_id`` plus the 36 raw transaction columns; the target is ``event_type = 'error'``."""
-    rows = event_rows(events)
+def transactions(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``event_id``, the kept event columns and the 36 raw transaction columns; the target is ``event_type = 'error'``."""
+    rows = event_rows(events, keep)
     h = daily_history(rows).withColumnsRenamed({"user_id": "h_user", "day": "h_day"})
     t = rows.join(h, (F.col("user_id") == F.col("h_user")) & (F.col("day") == F.col("h_day")), "left")
     k, n = F.col("k"), F.col("n")
@@ -93,10 +97,12 @@ def transactions(events: DataFrame) -> DataFrame:
     home, abroad = user % 6, (user + k) % 6
     spread = (n * F.col("s2") - F.col("s1") * F.col("s1")).cast("double")
     entropy = sum(
-        F.coalesce(-(F.col(f"mcc{i}") / n) * F.ln(F.nullif(F.col(f"mcc{i}"), F.lit(0)) / n), F.lit(0.0)) for i in range(4)
+        F.coalesce(-F.try_divide(F.col(f"mcc{i}"), n) * F.ln(F.try_divide(F.nullif(F.col(f"mcc{i}"), F.lit(0)), n)), F.lit(0.0))
+        for i in range(4)
     )
     return t.select(
         "event_id",
+        *keep,
         F.col("value").alias("amount"),
         _nth(CURRENCIES, k % 4).alias("currency"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("local_timestamp"),
