@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import numbers
 import sys
 import time
 
@@ -21,9 +22,9 @@ def connect(sf_dir: str):
 
 
 def _cell(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return None
-    if isinstance(v, (int, float)) and not isinstance(v, bool):
+    if isinstance(v, numbers.Number) and not isinstance(v, bool):
         return float(v)
     return str(v)
 

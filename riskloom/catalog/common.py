@@ -15,12 +15,17 @@ from riskloom.sources import ledger
 from riskloom.sources.tables import load_table
 
 
-def plain(df: DataFrame) -> DataFrame:
-    """Doubles to 6 decimals and integers to bigint, the form in which results are compared."""
+def plain(df: DataFrame, *sparse: str) -> DataFrame:
+    """Doubles to 6 decimals and integers to bigint, the form in which results are compared.
+
+    Integer columns that hold NULLs (``sparse``) become doubles, as data frames outside Spark show them.
+    """
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+        if f.name in sparse:
+            c = c.cast("double")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.floor(c * 1e6 + 0.5) / 1e6
         elif isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
@@ -81,6 +86,10 @@ def r6(expression: str, name: str) -> str:
     return f"floor(({expression}) * 1e6 + 0.5) / 1e6 AS {name}"
 
 
+def real(expression: str, name: str) -> str:
+    return f"CAST({expression} AS DOUBLE) AS {name}"
+
+
 def big(expression: str, name: str) -> str:
     return f"CAST({expression} AS BIGINT) AS {name}"
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskloom.catalog import profiling
+from riskloom.catalog import cleaning, profiling
 
-MODULES = (profiling,)
+MODULES = (profiling, cleaning)
 
 
 def queries() -> dict:

@@ -11,6 +11,9 @@ from riskloom.operators.parsing import parse_nested
 from riskloom.operators.profile import distinct_row_counts, missing_report
 from riskloom.operators.timing import add_time_features
 
+# Fixed value: the characters stripped from both ends of a text.
+BLANKS = " \t\n\r\f\v"
+
 # Copies of one row are written back in pieces of this many, spread over tasks.
 COPIES_PER_PIECE = 100_000
 
@@ -21,7 +24,7 @@ def normalize_names(df: DataFrame) -> DataFrame:
 
 def clean_text(df: DataFrame) -> DataFrame:
     """Strip text columns; empty, ``nan`` and ``None`` become NULL."""
-    strip = {n: F.regexp_replace(F.col(f"`{n}`"), r"^\s+|\s+$", "") for n in df.columns if is_text(df, n)}
+    strip = {n: F.btrim(F.col(f"`{n}`"), F.lit(BLANKS)) for n in df.columns if is_text(df, n)}
     return df.withColumns({n: F.when(~c.isin(MISSING_TEXTS), c) for n, c in strip.items()}) if strip else df
 
 

@@ -14,25 +14,34 @@ PRIVATE_IP = r"^(10\.|192\.168\.|172\.0*(1[6-9]|2[0-9]|3[01])\.)"
 
 
 def _as_json(text: Column) -> Column:
-    """Bare None/True/False and a trailing comma are the literals JSON does not share with Python."""
-    out = F.trim(text)
+    """Bare None/True/False and a trailing comma are the literals JSON does not share with Python.
+
+    Both are rare, so the replacements run only on texts that hold one.
+    """
+    words = text
     for word, json in (("None", "null"), ("True", "true"), ("False", "false")):
-        out = F.regexp_replace(out, rf"(?<=[\[{{(:,\s]){word}(?=\s*[,}}\])])", json)
-    return F.regexp_replace(out, r",\s*([\])}])", "$1")
+        words = F.regexp_replace(words, rf"(?<=[\[{{(:,\s]){word}(?=\s*[,}}\])])", json)
+    held = text.contains("None") | text.contains("True") | text.contains("False")
+    out = F.when(held, words).otherwise(text)
+    return F.when(out.rlike(r",\s*[\])}]"), F.regexp_replace(out, r",\s*([\])}])", "$1")).otherwise(out)
+
+
+def _enclosed(text: Column, start: str, end: str) -> Column:
+    return text.startswith(start) & text.endswith(end)
 
 
 def literal_dict(text: Column) -> Column:
     """Dict text as map<string,string>; NULL for anything else."""
-    json = _as_json(text)
-    return F.when(json.rlike(r"(?s)^\{.*\}$"), F.from_json(json, "map<string,string>"))
+    t = F.btrim(text)
+    return F.when(_enclosed(t, "{", "}"), F.from_json(_as_json(t), "map<string,string>"))
 
 
 def literal_items(text: Column) -> Column:
     """List or tuple text as array<string>; NULL for anything else."""
-    json = _as_json(text)
-    body = F.regexp_extract(json, r"(?s)^[\[(](.*)[\])]$", 1)
-    listed = json.rlike(r"(?s)^\[.*\]$|^\(.*\)$")
-    return F.when(listed, F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<string>"))
+    t = F.btrim(text)
+    as_list = F.concat(F.lit("["), F.substring(t, F.lit(2), F.length(t) - 2), F.lit("]"))
+    listed = _enclosed(t, "[", "]") | _enclosed(t, "(", ")")
+    return F.when(listed, F.from_json(_as_json(as_list), "array<string>"))
 
 
 def _score(text: Column) -> Column:
@@ -42,8 +51,8 @@ def _score(text: Column) -> Column:
 def parse_ip_risk(df: DataFrame, column: str = "ip_risk") -> DataFrame:
     if column not in df.columns:
         return df
-    json = _as_json(F.col(column))
-    parsed = F.when(json.rlike(r"(?s)^\{.*\}$"), F.from_json(json, "ip string, score string"))
+    t = F.btrim(F.col(column))
+    parsed = F.when(_enclosed(t, "{", "}"), F.from_json(_as_json(t), "ip string, score string"))
     return (
         df.withColumn("_risk", parsed)
         .withColumns({"ip_address": F.col("_risk.ip"), "ip_score": _score(F.col("_risk.score"))})
