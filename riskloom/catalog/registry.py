@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskloom.catalog import cleaning, profiling
+from riskloom.catalog import cleaning, features, mining, profiling
 
-MODULES = (profiling, cleaning)
+MODULES = (profiling, cleaning, features, mining)
 
 
 def queries() -> dict:
