@@ -48,6 +48,18 @@ def flag_patterns(df: DataFrame, flags: Sequence[str], target: str = TARGET) ->
     return rows.groupBy(*[c for c in rows.columns if c != "y"]).agg(F.count("*").alias("n"), F.sum("y").alias("s"))
 
 
+def _drawn(flags: Column, order: int, last: Column | None = None, prefix: Column | None = None) -> Column:
+    """All ascending combinations of ``order`` elements of an ascending array, as an array of arrays."""
+    rest = flags if last is None else F.filter(flags, lambda x: x > last)
+
+    def grown(x: Column) -> Column:
+        return F.array(x) if prefix is None else F.array_append(prefix, x)
+
+    if order == 1:
+        return F.transform(rest, grown)
+    return F.flatten(F.transform(rest, lambda x: _drawn(flags, order - 1, x, grown(x))))
+
+
 def flag_combinations(
     df: DataFrame,
     flags: Sequence[str] | None = None,
@@ -58,8 +70,7 @@ def flag_combinations(
     """Every combination of 2 to ``max_order`` flags that are all set on at least ``min_support`` rows.
 
     The table is reduced to its distinct flag patterns first; combinations are drawn per pattern from the
-    flags set in it, so the cost follows the patterns, not the rows. Flags below the support are left out
-    beforehand: no combination with them can reach it.
+    flags set in it, so the cost follows the patterns, not the rows.
     """
     require_columns(df, target)
     names = [f for f in (flags if flags is not None else flag_columns(df)) if f in df.columns]
@@ -70,30 +81,15 @@ def flag_combinations(
     def is_set(i: int) -> Column:
         return F.col(f"mask{i // BITS_PER_MASK}").bitwiseAND(F.lit(1 << (i % BITS_PER_MASK))) != 0
 
-    supports = F.array(*[F.coalesce(F.sum(F.when(is_set(i), F.col("n"))), F.lit(0)) for i in range(len(names))])
-    totals = one_row(patterns.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), supports.alias("supports")))
-    drawn = (
-        patterns.withColumn("totals", totals)
-        .select(
-            "n", "s",
-            F.array_compact(F.array(*[F.when(is_set(i) & (F.col("totals.supports")[i] >= min_support), F.lit(i)) for i in range(len(names))])).alias("set"),
-        )
-        .where(F.size("set") >= 2)
-        # Many combinations per pattern: spread the patterns before drawing them.
-        .repartition("set")
-    )
-    level = drawn.select("n", "s", "set", F.explode("set").alias("last")).withColumn("combo", F.array("last"))
-    levels = []
-    for _ in range(2, max_order + 1):
-        level = level.select("n", "s", "set", "combo", F.explode(F.filter("set", lambda x: x > F.col("last"))).alias("last"))
-        level = level.withColumn("combo", F.array_append("combo", F.col("last")))
-        levels.append(level.select("combo", "n", "s"))
-    every = levels[0]
-    for more in levels[1:]:
-        every = every.unionByName(more)
+    totals = one_row(patterns.agg(F.sum("n").alias("n"), F.sum("s").alias("s")))
+    # A pattern may yield thousands of combinations: spread the patterns before drawing them.
+    spread = patterns.repartition(*[c for c in patterns.columns if c.startswith("mask")])
+    indexed = spread.select("n", "s", F.array_compact(F.array(*[F.when(is_set(i), F.lit(i)) for i in range(len(names))])).alias("set"))
+    combos = F.concat(*[_drawn(F.col("set"), order) for order in range(2, max_order + 1)])
     texts = F.array(*[F.lit(n) for n in names])
     grouped = (
-        every.groupBy("combo")
+        indexed.select("n", "s", F.explode(combos).alias("combo"))
+        .groupBy("combo")
         .agg(F.sum("n").alias("support"), F.sum("s").alias("hits"))
         .withColumn("rule", F.array_join(F.transform("combo", lambda i: F.element_at(texts, i + 1)), " AND "))
         .withColumn("order", F.size("combo"))
