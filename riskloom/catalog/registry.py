@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from riskloom.catalog import cleaning, features, mining, profiling
+from riskloom.catalog import cleaning, features, mining, modelling, profiling, scoring
 
-MODULES = (profiling, cleaning, features, mining)
+MODULES = (profiling, cleaning, features, mining, scoring, modelling)
 
 
 def queries() -> dict:
