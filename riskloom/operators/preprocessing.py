@@ -37,12 +37,10 @@ def frequent_categories(train: DataFrame, columns: Sequence[str], min_frequency:
         return {}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c).cast("string"), F.lit("missing")).alias("v")) for c in columns])
     counted = train.select(F.inline(pairs)).groupBy("c", "v").agg(F.count("*").alias("n"))
-    least = min_frequency or 1
-    common = counted.where(F.col("n") >= least).groupBy("c").agg(F.sort_array(F.collect_list("v")).alias("v"))
-    rare = counted.where(F.col("n") < least).select("c").distinct()
-    kept = {r["c"]: list(r["v"]) for r in common.collect()}
-    others = {r["c"] for r in rare.collect()}
-    return {c: (kept.get(c, []), c in others) for c in columns}
+    frequent = F.col("n") >= (min_frequency or 1)
+    per_column = counted.groupBy("c").agg(F.sort_array(F.collect_list(F.when(frequent, F.col("v")))).alias("v"), F.bool_or(~frequent).alias("rare"))
+    found = {r["c"]: (list(r["v"]), r["rare"]) for r in per_column.collect()}
+    return {c: found.get(c, ([], False)) for c in columns}
 
 
 def scaling(train: DataFrame, columns: Sequence[str], scale: bool, method: str = "exact") -> dict[str, tuple[float, float, float]]:
@@ -101,9 +99,10 @@ def fit_preprocessing(
     if n_cat:
         indexed, encoded = [f"_i{i}" for i in range(n_cat)], [f"_v{i}" for i in range(n_cat)]
         # "keep" gives an unknown category the extra last index, and dropLast turns that into all zeros.
-        stages.append(
-            StringIndexerModel.from_arrays_of_labels(labels, inputCols=[f"_c{i}" for i in range(n_cat)], outputCols=indexed, handleInvalid="keep")
-        )
+        # One indexer per column: a shared one would pad the shorter label lists with nulls.
+        stages += [
+            StringIndexerModel.from_labels(own, inputCol=f"_c{i}", outputCol=indexed[i], handleInvalid="keep") for i, own in enumerate(labels)
+        ]
         stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
     inputs = [f"_n{i}" for i in range(len(numbers))] + [f"_v{i}" for i in range(n_cat)] + [f"_f{i}" for i in range(len(flags))]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
