@@ -65,7 +65,8 @@ def _score_buckets(df: DataFrame, buckets: int) -> Bucketizer:
     inner = []
     if buckets > 1:
         inner = df.agg(F.percentile_approx(SCORE, [i / buckets for i in range(1, buckets)])).first()[0] or []
-    splits = [float("-inf"), *sorted(set(inner)), float("inf")]
+    # A bucketizer needs at least one inner point.
+    splits = [float("-inf"), *sorted(set(inner) or {0.5}), float("inf")]
     return Bucketizer(splits=splits, inputCol=SCORE, outputCol="bucket", handleInvalid="keep")
 
 

@@ -98,12 +98,12 @@ def fit_preprocessing(
     n_cat = len(labels)
     if n_cat:
         indexed, encoded = [f"_i{i}" for i in range(n_cat)], [f"_v{i}" for i in range(n_cat)]
-        # "keep" gives an unknown category the extra last index, and dropLast turns that into all zeros.
+        # "keep" gives an unknown category the extra last index, which dropLast turns into all zeros.
         # One indexer per column: a shared one would pad the shorter label lists with nulls.
         stages += [
             StringIndexerModel.from_labels(own, inputCol=f"_c{i}", outputCol=indexed[i], handleInvalid="keep") for i, own in enumerate(labels)
         ]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
     inputs = [f"_n{i}" for i in range(len(numbers))] + [f"_v{i}" for i in range(n_cat)] + [f"_f{i}" for i in range(len(flags))]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
     return Preprocessing(stages, names)

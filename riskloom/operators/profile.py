@@ -250,11 +250,15 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> Da
     """Absolute Pearson correlation of every pair of numeric columns, rows with a null in the pair left out."""
     names = [n for n in (columns or df.columns) if is_numeric(df, n)]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    # A constant column has no correlation: Spark gives NaN, the report NULL.
-    agg = df.agg(*[null_if_nan(F.corr(number(df, a), number(df, b))).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    def size(a: str, b: str) -> Column:
+        # Unlike corr, regr_r2 does not divide by the variance of a constant; it is NULL for a constant second argument.
+        x, y = number(df, a), number(df, b)
+        return F.sqrt(F.when(F.regr_r2(y, x).isNotNull(), F.regr_r2(x, y)))
+
+    agg = df.agg(*[size(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = F.array(
         *[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.abs(F.col(f"r{i}")).alias("abs_correlation"))
+            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("abs_correlation"))
             for i, (a, b) in enumerate(pairs)
         ]
     )
