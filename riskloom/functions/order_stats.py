@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,13 @@ SKETCH_ACCURACY = 10_000
 RESOLVE_LIMIT = 1_000_000
 
 
+class Found(NamedTuple):
+    """The value at a rank and the number of rows below that value."""
+
+    value: object
+    below: int
+
+
 @dataclass
 class _Bracket:
     """Open interval (lo, hi) that holds the wanted ranks; ``below`` rows are <= lo."""
@@ -84,7 +92,7 @@ def _narrow(base: DataFrame, wide: list[_Bracket], found: dict, accuracy: int) -
                     break
                 passed += size
             if s % 2:
-                found[b.column][rank] = p[s // 2]
+                found[b.column][rank] = Found(p[s // 2], passed)
                 continue
             k = s // 2
             lo, hi = (p[k - 1] if k else None), (p[k] if k < len(p) else None)
@@ -116,7 +124,7 @@ def _resolve(base: DataFrame, narrow: list[_Bracket], found: dict) -> None:
         b = narrow[row["b"]]
         for rank in b.ranks:
             if row["upto"] - row["n"] <= rank - b.below < row["upto"]:
-                found[b.column][rank] = row["v"]
+                found[b.column][rank] = Found(row["v"], row["upto"] - row["n"] + b.below)
 
 
 def order_statistics(
@@ -125,12 +133,12 @@ def order_statistics(
     ranks: Callable[[str, int], Iterable[int]],
     accuracy: int = SKETCH_ACCURACY,
     resolve_limit: int = RESOLVE_LIMIT,
-) -> tuple[dict[str, int], dict[str, dict[int, object]]]:
-    """Non-null counts and the values at 0-based ``ranks(name, count)`` of each column's ascending order."""
+) -> tuple[dict[str, int], dict[str, dict[int, Found]]]:
+    """Non-null counts and what is found at 0-based ``ranks(name, count)`` of each column's ascending order."""
     names = {f"c{i}": name for i, name in enumerate(columns)}
     base = df.select(*[columns[name].alias(key) for key, name in names.items()])
     row = base.agg(*[F.count(key).alias(key) for key in names]).first()
-    found: dict[str, dict[int, object]] = {key: {} for key in names}
+    found: dict[str, dict[int, Found]] = {key: {} for key in names}
 
     pending = []
     for key, name in names.items():
@@ -183,7 +191,7 @@ def quantiles(
                 line.append(None)
                 continue
             at = q * (n - 1)
-            lo, hi = values[name][math.floor(at)], values[name][math.ceil(at)]
+            lo, hi = values[name][math.floor(at)].value, values[name][math.ceil(at)].value
             line.append(float(lo) if lo == hi else float(lo) + (float(hi) - float(lo)) * (at - math.floor(at)))
         result[name] = line
     return result

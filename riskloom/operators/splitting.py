@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.fixed_values import RAW_TIMESTAMP, TARGET, TIMESTAMP
-from riskloom.functions.order_stats import RESOLVE_LIMIT, order_statistics
+from riskloom.functions.order_stats import RESOLVE_LIMIT, Found, order_statistics
 from riskloom.functions.scalars import clock_micros, number
 from riskloom.operators.timing import parsed_time
 from riskloom.sources.tables import require_columns
@@ -33,14 +33,14 @@ def ensure_datetime(df: DataFrame, timestamp: str = TIMESTAMP, fallback: str = R
     raise ValueError(f"neither {timestamp} nor {fallback} is in the table")
 
 
-def _before(df: DataFrame, key: Column, tie: Column, cut, rank: int, resolve_limit: int) -> Column:
-    """Condition that holds for exactly the first ``rank`` rows by (key, tie); ``cut`` is the key at ``rank``."""
-    below = df.agg(F.count_if(key < F.lit(cut))).first()[0]
-    if below == rank:
-        return key < F.lit(cut)
-    tied = df.where(key == F.lit(cut))
-    _, values = order_statistics(tied, {"t": tie}, lambda _, n: [rank - below], resolve_limit=resolve_limit)
-    return (key < F.lit(cut)) | ((key == F.lit(cut)) & (tie < F.lit(values["t"][rank - below])))
+def _before(df: DataFrame, key: Column, tie: Column, cut: Found, rank: int, resolve_limit: int) -> Column:
+    """Condition that holds for exactly the first ``rank`` rows by (key, tie); ``cut`` was found at ``rank``."""
+    if cut.below == rank:
+        return key < F.lit(cut.value)
+    inside = rank - cut.below
+    tied = df.where(key == F.lit(cut.value))
+    _, found = order_statistics(tied, {"t": tie}, lambda _, n: [inside], resolve_limit=resolve_limit)
+    return (key < F.lit(cut.value)) | ((key == F.lit(cut.value)) & (tie < F.lit(found["t"][inside].value)))
 
 
 def time_split(
@@ -120,7 +120,7 @@ def stratified_split(
     for i, (value, n) in enumerate(classes):
 
         def first(rank: int) -> Column:
-            return F.lit(True) if rank >= n else key < F.lit(at[str(i)][rank])
+            return F.lit(True) if rank >= n else key < F.lit(at[str(i)][rank].value)
 
         own = F.when(first(n_train[i]), "train").when(first(n_train[i] + n_valid[i]), "validation").otherwise("test")
         split = F.when(F.col(target) == F.lit(value), own).otherwise(split)

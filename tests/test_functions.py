@@ -32,8 +32,8 @@ def test_order_statistics_of_several_columns(skewed):
     counts, found = order_stats.order_statistics(df, columns, lambda _, n: [0, n // 3, n - 1], accuracy=50, resolve_limit=30)
     n = len(ordered)
     assert counts == {"x": n, "minus": n, "none": 0}
-    assert found["x"] == {k: ordered[k] for k in (0, n // 3, n - 1)}
-    assert found["minus"] == {k: -ordered[n - 1 - k] for k in (0, n // 3, n - 1)}
+    assert found["x"] == {k: (ordered[k], ordered.index(ordered[k])) for k in (0, n // 3, n - 1)}
+    assert {k: f.value for k, f in found["minus"].items()} == {k: -ordered[n - 1 - k] for k in (0, n // 3, n - 1)}
     assert found["none"] == {}
 
 
