@@ -10,8 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,25 +84,21 @@ def fit_preprocessing(
         fields.append(f"(coalesce(nanvl(try_cast(`{c}` AS double), NULL), {_double(median)}) - {_double(mean)}) / {_double(deviation)} AS _n{i}")
         names.append(f"numeric__{c}")
     for i, (c, (frequent, has_rare)) in enumerate(categories.items()):
-        value = f"coalesce(cast(`{c}` AS string), 'missing')"
-        known = f"{value} IN ({', '.join(map(_text, frequent))})" if frequent else "false"
-        fields.append(f"CASE WHEN {known} THEN {value} ELSE {_text(RARE)} END AS _c{i}")
+        # The index after the frequent ones is the shared rare column where the training rows have rare
+        # categories, and otherwise lies beyond all known ones, which the encoder turns into all zeros.
+        cases = " ".join(f"WHEN {_text(v)} THEN {_double(k)}" for k, v in enumerate(frequent)) or "WHEN NULL THEN NULL"
+        fields.append(f"CASE coalesce(cast(`{c}` AS string), 'missing') {cases} ELSE {_double(len(frequent))} END AS _c{i}")
         labels.append(frequent + [RARE] if has_rare else (frequent or [RARE]))
         names += [f"categorical__{c}_{v}" for v in labels[-1]]
     for i, c in enumerate(flags):
         fields.append(f"cast(coalesce(`{c}`, 0) AS double) AS _f{i}")
         names.append(f"{'binary' if i < len(features.binary_features) else 'interaction'}__{c}")
 
-    stages: list[Transformer] = [SQLTransformer(statement=f"SELECT *, {', '.join(fields)} FROM __THIS__")]
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(fields)} FROM __THIS__")]
     n_cat = len(labels)
     if n_cat:
-        indexed, encoded = [f"_i{i}" for i in range(n_cat)], [f"_v{i}" for i in range(n_cat)]
-        # "keep" gives an unknown category the extra last index, which dropLast turns into all zeros.
-        # One indexer per column: a shared one would pad the shorter label lists with nulls.
-        stages += [
-            StringIndexerModel.from_labels(own, inputCol=f"_c{i}", outputCol=indexed[i], handleInvalid="keep") for i, own in enumerate(labels)
-        ]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True))
+        indexed, encoded = [f"_c{i}" for i in range(n_cat)], [f"_v{i}" for i in range(n_cat)]
+        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
     inputs = [f"_n{i}" for i in range(len(numbers))] + [f"_v{i}" for i in range(n_cat)] + [f"_f{i}" for i in range(len(flags))]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
     return Preprocessing(stages, names)
