@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import ngram_join, packing, storage, warc
+from riskloom.llm import language_id, ngram_join, packing, quality_model, quality_rules, storage, warc
+from riskloom.llm.quality_model import in_fold
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,5 +28,24 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(docs, n=3, threshold=Fraction(9, 10))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op4_packing, op5_ngram_join)}
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = storage.table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, ~in_fold(4, 2))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", in_fold(4, 2).alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(storage.table(spark, sf_dir, "documents"))
+
+
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = storage.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, storage.table(spark, sf_dir, "labels"), ~in_fold(5, 0))
+    scored = quality_model.score_quality(docs, model)
+    predicted = F.when(F.col("quality_score") >= 0.3, 1).otherwise(0).cast("int")
+    return scored.select("doc_id", in_fold(5, 0).alias("held_out"), F.col("quality_score").alias("score"), predicted.alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op10_quality_model)}
 SQL: dict[str, str] = {}
