@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import language_id, ngram_join, packing, quality_model, quality_rules, storage, warc
+from riskloom.llm import language_id, ngram_join, packing, quality_model, quality_rules, storage, vector_dedup, warc
 from riskloom.llm.quality_model import in_fold
 
 
@@ -39,6 +39,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(storage.table(spark, sf_dir, "documents"))
 
 
+def op9_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(storage.table(spark, sf_dir, "embeddings"))
+
+
 def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = storage.table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality_model.fit(docs, storage.table(spark, sf_dir, "labels"), ~in_fold(5, 0))
@@ -47,5 +51,5 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_fold(5, 0).alias("held_out"), F.col("quality_score").alias("score"), predicted.alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op10_quality_model)}
+QUERIES = {f.__name__: f for f in (op1_warc, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
 SQL: dict[str, str] = {}
