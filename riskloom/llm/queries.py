@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import language_id, ngram_join, packing, quality_model, quality_rules, storage, vector_dedup, warc
+from riskloom.llm import language_id, ngram_join, packing, pii, quality_model, quality_rules, storage, vector_dedup, warc
 from riskloom.llm.quality_model import in_fold
 
 
@@ -18,6 +18,15 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(manifest, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = storage.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.with_spans(docs, pii.fit(docs)).drop("text")
+    shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{kind}')) AS LONG)").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = storage.table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
@@ -51,5 +60,5 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_fold(5, 0).alias("held_out"), F.col("quality_score").alias("score"), predicted.alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
+QUERIES = {f.__name__: f for f in (op1_warc, op3_pii, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
 SQL: dict[str, str] = {}
