@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import language_id, ngram_join, packing, pii, quality_model, quality_rules, storage, vector_dedup, warc
+from riskloom.llm import language_id, ngram_join, packing, piece_fst, pii, quality_model, quality_rules, storage, vector_dedup, warc
 from riskloom.llm.quality_model import in_fold
 
 
@@ -18,6 +18,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(manifest, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = piece_fst.decoded(piece_fst.encoded(storage.table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return docs.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), same.alias("round_trip"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = storage.table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.with_spans(docs, pii.fit(docs)).drop("text")
@@ -60,5 +67,5 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_fold(5, 0).alias("held_out"), F.col("quality_score").alias("score"), predicted.alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_pii, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_pieces, op3_pii, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
 SQL: dict[str, str] = {}
