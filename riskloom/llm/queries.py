@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import language_id, ngram_join, packing, piece_fst, pii, quality_model, quality_rules, storage, vector_dedup, warc
+from riskloom.llm import chat_format, language_id, ngram_join, packing, piece_fst, pii, quality_model, quality_rules, storage, vector_dedup, warc
 from riskloom.llm.quality_model import in_fold
 
 
@@ -51,6 +51,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold(4, 2).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one = storage.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
+    rows = one.union(more)
+    records = rows.select("conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    rows = chat_format.read_chats(chat_format.format_chats(records))
+    text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return rows.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(text.cast("binary"), 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(storage.table(spark, sf_dir, "documents"))
 
@@ -67,5 +81,24 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_fold(5, 0).alias("held_out"), F.col("quality_score").alias("score"), predicted.alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_pieces, op3_pii, op4_packing, op5_ngram_join, op6_language_id, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_pieces, op3_pii, op4_packing, op5_ngram_join, op6_language_id, op7_chat_format, op8_quality_rules, op9_vector_dedup, op10_quality_model)}
+SQL = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+f AS (SELECT page_id, encode(body) AS payload, sha1(encode(body)) AS digest, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, CAST(octet_length(payload) AS BIGINT) AS payload_bytes,
+  (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(digest, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS INT), 1), '' ORDER BY i)
+   FROM range(32) r(i)) AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM f""",
+    "op7_chat_format": """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\\### Assistant: </turn> ok' FROM range(2) r(i)),
+u AS (SELECT *, 14 + length(role) + length(regexp_replace(text, '[\\\\<#]', 'xx', 'g')) AS chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM u GROUP BY conv_id""",
+}
