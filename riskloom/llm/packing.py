@@ -111,7 +111,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int
     """(times, {length: number}) patterns that use up ``counts``; each window is filled as close to ``capacity`` as the rest allows."""
     left, patterns, full = {k: v for k, v in counts.items() if v}, [], (1 << capacity + 1) - 1
     while left:
-        # Longest first: a path back then prefers few long remainders and leaves the short ones, which fill gaps.
+        # Longest last: the path back meets them first and takes them, and short ones are left to fill gaps.
         lengths = sorted(left)
         items = []  # (length, copies): numbers of each length in powers of two, and the rest
         for length in lengths:
@@ -126,7 +126,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int
             reach |= reach << length * copies & full
         best, pattern = reach.bit_length() - 1, {}
         for (length, copies), before in zip(reversed(items), reversed(steps)):
-            if best >= length * copies and before >> best - length * copies & 1 and (not before >> best & 1 or length * copies <= best):
+            if best >= length * copies and before >> best - length * copies & 1:
                 best -= length * copies
                 pattern[length] = pattern.get(length, 0) + copies
         times = min(left[k] // v for k, v in pattern.items())
