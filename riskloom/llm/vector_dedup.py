@@ -91,8 +91,11 @@ def unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
 def _fit(rows: DataFrame, labels: int, total: int) -> tuple[int, tuple[np.ndarray, np.ndarray]] | None:
     every = max(1, total // SAMPLE)
     sample = rows.where(F.pmod(F.xxhash64("uid"), F.lit(every)) == 0).select("embedding").toPandas()
-    _, x = unit(list(sample["embedding"]))
-    if len(x) < 2 or x.shape[1] < 2:
+    listed = list(sample["embedding"])
+    lengths = np.bincount([len(e) for e in listed], minlength=1)
+    width = int(lengths.argmax())  # vectors of another length stay in one cell of their own
+    _, x = unit([e for e in listed if len(e) == width])
+    if len(x) < 2 or width < 2:
         return None
     size = int(min(256, max(1, np.ceil(np.sqrt(total / max(1, labels) / 256)))))
     half = x.shape[1] // 2
