@@ -26,7 +26,8 @@ def plain(df: DataFrame, *sparse: str) -> DataFrame:
         if f.name in sparse:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.floor(c * 1e6 + 0.5) / 1e6
+            # NaN stays, and so does what is too large to have six decimals; floor() gives a bigint.
+            c = F.when(F.isnan(c) | (F.abs(c) >= 1e12), c).otherwise(F.floor(c * 1e6 + 0.5) / 1e6)
         elif isinstance(f.dataType, T.IntegralType):
             c = c.cast("bigint")
         out.append(c.alias(f.name))

@@ -235,6 +235,29 @@ MINED_CATEGORICAL = [
     "cross_border_x_low_country_diversity",
     "high_ip_score_x_card_not_present",
 ]
+# Derived categories that are mined whether or not they were asked for.
+AUTO_CATEGORICAL = [
+    "ip_score_risk_group",
+    "decline_rate_risk_group",
+    "credit_util_risk_group",
+    "txn_count_7d_group",
+    "txn_velocity_group",
+    "night_ratio_group",
+    "amount_to_mean_group",
+    "amount_to_max_group",
+    "night_unusual_group",
+    "high_ip_high_amount_flag",
+    "high_decline_high_amount_flag",
+    "private_ip_high_score_flag",
+    "high_velocity_high_amount_flag",
+    "low_mcc_entropy_x_low_night_ratio",
+    "low_mcc_entropy_x_high_max_amount_30d",
+    "low_mcc_entropy_x_low_spending_trend",
+    "low_mcc_entropy_x_card_not_present",
+    "low_night_ratio_x_high_max_amount_30d",
+    "cross_border_x_low_country_diversity",
+    "high_ip_score_x_card_not_present",
+]
 AUTO_NUMERIC = ["amount_to_mean_30d", "amount_to_max_30d", "night_unusual_score"]
 MINED_PAIRS = [
     ("payment_channel", "merchant_country"),

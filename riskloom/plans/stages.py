@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.fixed_values import AUTO_NUMERIC, MINED_CATEGORICAL, MINED_NUMERIC, TARGET
+from riskloom.fixed_values import AUTO_CATEGORICAL, AUTO_NUMERIC, MINED_CATEGORICAL, MINED_NUMERIC, TARGET
 from riskloom.operators import cleaning, combinations, features, profile, rates, rules, segments, splitting, stability
 
 
@@ -36,8 +36,7 @@ def mine_patterns(
     Derived groups and interactions are mined too, whether or not they were asked for.
     """
     table = features.insight_features(df)
-    grouped = [c for c in MINED_CATEGORICAL if c.endswith("_group") or "_x_" in c or c.endswith("_amount_flag") or c == "private_ip_high_score_flag"]
-    wanted_c = list(dict.fromkeys([*categorical, *[c for c in grouped if c in table.columns]]))
+    wanted_c = list(dict.fromkeys([*categorical, *[c for c in AUTO_CATEGORICAL if c in table.columns]]))
     wanted_n = list(dict.fromkeys([*numeric, *[c for c in AUTO_NUMERIC if c in table.columns]]))
     by_value = rates.categorical_report(table, wanted_c, target, min_count)
     by_bin = rates.many_bin_rates(table, wanted_n, target, bins, min_count=min_count)
