@@ -72,7 +72,10 @@ class PieceTransducer:
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(size) if sp.is_byte(i)}
         if len(self.byte) != 256:
             raise ValueError("the model has no byte fallback")
-        self.longest = max(map(len, self.ids))
+        ends: dict[str, set[int]] = {}
+        for p in self.ids:
+            ends.setdefault(p[-2:], set()).add(len(p))
+        self.ends = {k: sorted(v, reverse=True) for k, v in ends.items()}  # lengths of the pieces with these last characters
         self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
             self.cut = re.compile(r"(?s).+")  # pieces may reach over words: compose whole texts
@@ -124,8 +127,9 @@ class PieceTransducer:
         size = len(text)
         cost, step, state = [0.0] + [np.inf] * size, [0] * (size + 1), [None] * (size + 1)
         for end in range(1, size + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = self.ids.get(text[start:end])
+            for length in [*self.ends.get(text[end - 2 : end], ()), 1] if end > 1 else (1,):
+                start = end - length
+                piece = self.ids.get(text[start:end]) if start >= 0 else None
                 if piece is None or cost[start] == np.inf:
                     continue
                 if self.merges:
