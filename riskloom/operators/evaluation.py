@@ -94,7 +94,7 @@ def curve_points(df: DataFrame, by: Sequence[str] = (), buckets: int | None = No
         on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
     inside = Window.partitionBy(*by, "bucket").orderBy(F.desc(SCORE)).rowsBetween(Window.unboundedPreceding, 0)
     running = bucketed.withColumns({"tp_in": F.sum("pos").over(inside), "fp_in": F.sum("neg").over(inside)})
-    return running.join(F.broadcast(ranges), on).select(
+    return running.join(ranges, on).select(
         *by, SCORE, "pos", "neg", (F.col("p0") + F.col("tp_in")).alias("tp"), (F.col("q0") + F.col("fp_in")).alias("fp")
     )
 
