@@ -171,8 +171,8 @@ def _experiment(s, d, name):
     e = scored_events(s, d).where(F.col("split") == "test")
     p = F.col("fraud_probability")
     x = 50.0 * p / (1.0 - p)
-    counts = evaluation.with_ratios(evaluation.confusion_counts(e.withColumn("fraud_probability", x / (x + FORMULAS[name])), 0.5))
-    return counts.select(F.lit(f"lr_{name}").alias("experiment_name"), F.col("f2").alias("test_f2"), F.col("precision").alias("test_pr_auc"), F.col("tp").alias("test_tp"))
+    report = evaluation.evaluate(e.withColumn("fraud_probability", x / (x + FORMULAS[name])), 0.5)
+    return report.select(F.lit(f"lr_{name}").alias("experiment_name"), F.col("f2").alias("test_f2"), F.col("pr_auc").alias("test_pr_auc"), F.col("tp").alias("test_tp"))
 
 
 def _compared(s, d):
@@ -180,18 +180,19 @@ def _compared(s, d):
     return experiments.compare_sources(tables)
 
 
+# The formulas keep the order of the scores, so each has the areas of the scores themselves.
 _EXPERIMENTS = "\nUNION ALL ".join(
-    f"""SELECT 'lr_{n}' AS experiment_name, {RATIOS['f2']} AS f2, {RATIOS['precision']} AS precision, tp AS test_tp, '{source}' AS source FROM (
+    f"""SELECT 'lr_{n}' AS experiment_name, {RATIOS['f2']} AS f2, (SELECT pr_auc FROM areas WHERE split = 'test') AS pr_auc, tp AS test_tp, '{source}' AS source FROM (
   SELECT count(*) FILTER (y = 1 AND p >= 0.5) AS tp, count(*) FILTER (y = 0 AND p >= 0.5) AS fp, count(*) FILTER (y = 1 AND p < 0.5) AS fn FROM (
     SELECT y_true AS y, (50 * fraud_probability / (1 - fraud_probability)) / (50 * fraud_probability / (1 - fraud_probability) + {FORMULAS[n]}) AS p FROM sc WHERE split = 'test'))"""
     for source, names in SOURCES.items()
     for n in names
 )
 QUERIES["experiment_source_comparison"] = lambda s, d: plain(experiments.ranked(_compared(s, d)))
-SQL["experiment_source_comparison"] = chain(f"SELECT experiment_name, {r6('f2', 'test_f2')}, {r6('precision', 'test_pr_auc')}, test_tp, source FROM ({_EXPERIMENTS})")
+SQL["experiment_source_comparison"] = chain(f"SELECT experiment_name, {r6('f2', 'test_f2')}, {r6('pr_auc', 'test_pr_auc')}, test_tp, source FROM ({_EXPERIMENTS})")
 QUERIES["experiment_final_choice"] = lambda s, d: plain(explain.final_experiment(_compared(s, d).where(F.col("source") == "search"), "absent"))
 SQL["experiment_final_choice"] = chain(
-    f"SELECT experiment_name, {r6('f2', 'test_f2')}, {r6('precision', 'test_pr_auc')}, test_tp, source FROM ({_EXPERIMENTS}) WHERE source = 'search' ORDER BY f2 DESC, precision DESC, experiment_name LIMIT 1"
+    f"SELECT experiment_name, {r6('f2', 'test_f2')}, {r6('pr_auc', 'test_pr_auc')}, test_tp, source FROM ({_EXPERIMENTS}) WHERE source = 'search' ORDER BY f2 DESC, pr_auc DESC, experiment_name LIMIT 1"
 )
 
 
