@@ -305,15 +305,15 @@ def lift_table(df: DataFrame, feature: str, target: str = TARGET, min_count: int
 def decile_lift_table(df: DataFrame, column: str, target: str = TARGET, bins: int = 10, method: str = "exact") -> DataFrame:
     """``lift_table`` over quantile bins of a numeric column with at least 3 distinct values.
 
-    Three distinct values always give two distinct extremes, and a column below three is told from
-    its three smallest distinct values, so no full distinct count is needed.
+    A column has three distinct values if one lies between its extremes, so none are counted.
     """
     require_columns(df, column, target)
     x = number(df, column)
-    few = df.select(x.alias("x")).where(F.col("x").isNotNull()).distinct().limit(3).count()
-    edges = quantiles(df, {"x": x}, [i / bins for i in range(bins + 1)], method)["x"] if few >= 3 else []
+    lo, hi = df.agg(F.min(x), F.max(x)).first()
+    several = lo is not None and not df.where((x > lo) & (x < hi)).isEmpty()
+    edges = quantiles(df, {"x": x}, [i / bins for i in range(bins + 1)], method)["x"] if several else []
     edges = sorted({e for e in edges if e is not None})
-    kept = df.where(x.isNotNull() & F.lit(few >= 3))
+    kept = df.where(x.isNotNull() & F.lit(several))
     index = bin_index(x, edges) if len(edges) > 1 else F.lit(0)
     return lift_table(kept.select(index.cast("bigint").alias("bin_id"), target), "bin_id", target, 1).withColumnRenamed("value", "bin_id")
 
