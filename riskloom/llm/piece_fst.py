@@ -13,7 +13,10 @@ path as well, so the search keeps one state a position. For a model of unigrams
 from __future__ import annotations
 
 import re
+from itertools import chain
+from struct import pack
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,14 +72,14 @@ class PieceTransducer:
         self.ids = {sp.id_to_piece(i): i for i in plain}
         self.text = {i: p for p, i in self.ids.items()}
         self.score = {i: sp.get_score(i) for i in plain}
+        self.rank = {p: self.score[i] for p, i in self.ids.items()}
         self.byte = {int(sp.id_to_piece(i)[3:5], 16): i for i in range(size) if sp.is_byte(i)}
         if len(self.byte) != 256:
             raise ValueError("the model has no byte fallback")
-        ends: dict[str, set[int]] = {}
-        for p in self.ids:
-            ends.setdefault(p[-2:], set()).add(len(p))
-        self.ends = {k: sorted(v, reverse=True) for k, v in ends.items()}  # lengths of the pieces with these last characters
-        self.inside = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.arcs = ahocorasick.Automaton()  # reads a text once and writes every piece that ends at each place
+        for p, i in self.ids.items():
+            self.arcs.add_word(p, (len(p), i))
+        self.arcs.make_automaton()
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
             self.cut = re.compile(r"(?s).+")  # pieces may reach over words: compose whole texts
         else:
@@ -87,86 +90,70 @@ class PieceTransducer:
         for b, i in self.byte.items():
             self.output[i] = bytes([b])
         self.fallback = 1000.0 - min(self.score.values(), default=0.0)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.alone: dict[int, bool] = {}
+        self.size = size
+        self.pairs: dict[int, bool] = {}
         self.strings: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
 
     def normalise(self, text: str) -> str:
         return (MARK if self.prefix else "") + text.replace(" ", MARK) if text else ""
 
     def merged(self, text: str) -> list[str]:
         """The merges themselves, on the short strings that tell whether two pieces go together."""
-        parts = list(text)
+        parts, rank = list(text), self.rank.get
+        pairs = [rank(x) for x in map(str.__add__, parts, parts[1:])]
         while True:
             best, at = None, -1
-            for k in range(len(parts) - 1):
-                i = self.ids.get(parts[k] + parts[k + 1])
-                if i is not None and (best is None or self.score[i] > best):
-                    best, at = self.score[i], k
+            for k, score in enumerate(pairs):
+                if score is not None and (best is None or score > best):
+                    best, at = score, k
             if best is None:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def _goes(self, last: int | None, piece: int) -> bool:
-        """Whether the step from state ``last`` to ``piece`` has finite weight. ``last`` is None at the start and behind a fallback."""
-        if last is None:
-            if piece not in self.alone:
-                self.alone[piece] = len(self.merged(self.text[piece])) == 1
-            return self.alone[piece]
-        key = (last, piece)
-        if key not in self.pairs:
-            if len(self.pairs) >= 4 * CACHE:
-                self.pairs.clear()
-            a, b = self.text[last], self.text[piece]
-            self.pairs[key] = self.merged(a + b) == [a, b]
-        return self.pairs[key]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at])
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1])
+
+    def _goes(self, last: int, piece: int) -> bool:
+        """Whether the step from state ``last`` to ``piece`` has finite weight. ``last`` is -1 at the start and behind a fallback."""
+        whole = [self.text[piece]] if last < 0 else [self.text[last], self.text[piece]]
+        if len(self.pairs) >= 4 * CACHE:
+            self.pairs.clear()
+        self.pairs[last * self.size + piece] = found = self.merged("".join(whole)) == whole
+        return found
 
     def shortest(self, text: str) -> list[int]:
         """Ids along the shortest path through the lattice of a normalised text."""
-        size = len(text)
-        cost, step, state = [0.0] + [np.inf] * size, [0] * (size + 1), [None] * (size + 1)
-        for end in range(1, size + 1):
-            for length in [*self.ends.get(text[end - 2 : end], ()), 1] if end > 1 else (1,):
-                start = end - length
-                piece = self.ids.get(text[start:end]) if start >= 0 else None
-                if piece is None or cost[start] == np.inf:
-                    continue
-                if self.merges:
-                    weight = 0.0 if self._goes(state[start], piece) else np.inf
-                else:
-                    weight = -self.score[piece]
-                if cost[start] + weight < cost[end]:
-                    cost[end], step[end], state[end] = cost[start] + weight, start, piece
-                    if self.merges:
-                        break
-            if text[end - 1] not in self.ids and cost[end - 1] + self.fallback < cost[end]:
-                cost[end], step[end], state[end] = cost[end - 1] + (0.0 if self.merges else self.fallback), end - 1, None
+        size, at, ids, pairs, width, merges, fallback = len(text), 0, self.ids, self.pairs, self.size, self.merges, self.fallback
+        cost, step, state = [0.0] + [np.inf] * size, [0] * (size + 1), [-1] * (size + 1)
+        for last, (length, piece) in chain(self.arcs.iter(text), ((size, (0, -1)),)):
+            while at < last:  # no more arcs end at these places: byte fallback where no piece reads the character
+                at += 1
+                if cost[at - 1] + fallback < cost[at] and text[at - 1] not in ids:
+                    cost[at], step[at], state[at] = cost[at - 1] + (0.0 if merges else fallback), at - 1, -1
+            end, start = last + 1, last + 1 - length
+            if piece < 0:
+                break
+            if not merges:
+                if cost[start] - self.score[piece] < cost[end]:
+                    cost[end], step[end], state[end] = cost[start] - self.score[piece], start, piece
+            elif cost[end] and not cost[start]:
+                goes = pairs.get(state[start] * width + piece)
+                if self._goes(state[start], piece) if goes is None else goes:
+                    cost[end], step[end], state[end] = 0.0, start, piece
         out, at = [], size
         while at:
             piece = state[at]
-            out += [piece] if piece is not None else [self.byte[b] for b in reversed(text[step[at] : at].encode())]
+            out += [piece] if piece >= 0 else [self.byte[b] for b in reversed(text[step[at] : at].encode())]
             at = step[at]
         return out[::-1]
 
     def _string(self, text: str) -> bytes:
-        """Cut once more where no piece holds both neighbours, as no path can differ across such a place."""
+        ids = self.shortest(text)
         if len(self.strings) >= CACHE:
             self.strings.clear()
-        parts, first = [], 0
-        for k in range(1, len(text)):
-            if text[k - 1 : k + 1] not in self.inside:
-                parts.append(text[first:k])
-                first = k
-        out = b""
-        for part in [*parts, text[first:]]:
-            ids = self.parts.get(part)
-            if ids is None:
-                if len(self.parts) >= CACHE:
-                    self.parts.clear()
-                self.parts[part] = ids = np.array(self.shortest(part), "<u4").tobytes()
-            out += ids
-        self.strings[text] = out
+        self.strings[text] = out = pack(f"<{len(ids)}I", *ids)
         return out
 
     def encode(self, text: str) -> bytes:
