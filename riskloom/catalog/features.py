@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from riskloom.catalog.common import CHAIN, big, chain, featured, plain, prepared, r6, real, split_events, train_rows
@@ -151,13 +152,15 @@ SQL["split_by_time"] = chain("SELECT event_id, split FROM sev")
 def _shipped(s, d):
     li = load_table(s, d, "lineitem")
     key = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")
-    rows = li.groupBy(key.alias("line_id"), "l_shipdate", "l_returnflag").agg(F.count("*").alias("n")).where("n = 1")
-    return splitting.time_split(rows.withColumn("fraud", flag(F.col("l_returnflag") == "R")), "line_id", timestamp="l_shipdate").select("line_id", "split")
+    # Repeated keys get a number by ship day, which makes the tie key unique; every line item stays.
+    copy = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber", "l_partkey").orderBy("l_shipdate"))
+    rows = li.select((key * 1000 + copy).alias("line_id"), "l_shipdate", flag(F.col("l_returnflag") == "R").alias("fraud"))
+    return splitting.time_split(rows, "line_id", timestamp="l_shipdate").select("line_id", "split")
 
 
 QUERIES["split_by_time_ties"] = lambda s, d: plain(_shipped(s, d))
 SQL["split_by_time_ties"] = """
-WITH t AS (SELECT (l_orderkey * 8 + l_linenumber) * 100000 + l_partkey AS line_id, l_shipdate, l_returnflag FROM lineitem GROUP BY 1, 2, 3 HAVING count(*) = 1),
+WITH t AS (SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 1000 + row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey ORDER BY l_shipdate) AS line_id, l_shipdate FROM lineitem),
 r AS (SELECT line_id, row_number() OVER (ORDER BY l_shipdate, line_id) - 1 AS pos, count(*) OVER () AS n FROM t)
 SELECT line_id, CASE WHEN pos < floor(n * 0.7::DOUBLE) THEN 'train' WHEN pos < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'validation' ELSE 'test' END AS split FROM r"""
 

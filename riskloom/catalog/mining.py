@@ -215,15 +215,16 @@ SELECT rule, support, {_RULE}, "order" FROM (
 WHERE support >= {least}""", unpivot
 
 
-_SOME_FLAGS = BASE_FLAGS + list(INTERACTIONS)[:6]
+AMOUNT_FLAGS = ["amount_missing_flag", "amount_invalid_flag"] + [f"{c}_{k}_flag" for c in ("mean_amount_30d", "max_amount_30d", "std_amount_30d") for k in ("missing", "zero")]
+ALL_FLAGS = AMOUNT_FLAGS + BASE_FLAGS + list(INTERACTIONS)
 
 
 def _flag_rules(s, d):
-    return combinations.flag_combinations(featured(s, d)[0], _SOME_FLAGS)
+    return combinations.flag_combinations(featured(s, d)[0], ALL_FLAGS)
 
 
 QUERIES["mining_flag_combinations"] = lambda s, d: plain(_flag_rules(s, d))
-_query, _pairs = _combos(_SOME_FLAGS, 50)
+_query, _pairs = _combos(ALL_FLAGS, 50)
 SQL["mining_flag_combinations"] = chain(_query, up=_pairs)
 
 
@@ -272,7 +273,7 @@ SQL["mining_rule_interpretation"] = chain(f"SELECT *, {_STRENGTH}, {_MEANING} FR
 # M21
 def _actionable(s, d):
     table = featured(s, d)[0]
-    every = rules.rule_union(combinations.flag_combinations(table, _SOME_FLAGS), segments.priority_rules(table), combinations.categorical_pairs(table))
+    every = rules.rule_union(combinations.flag_combinations(table, ALL_FLAGS), segments.priority_rules(table), combinations.categorical_pairs(table))
     return rules.actionable_rules(every, 1.2, 50, 0.2)
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskloom.catalog.common import big, chain, featured, plain, r6, scratch, train_rows
+from riskloom.catalog.common import big, chain, featured, plain, r6, raw_transactions, real, scratch, train_rows
 from riskloom.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from riskloom.operators import decisions, experiments, explain, features, models, preprocessing
+from riskloom.sources import tables
 
 QUERIES, SQL = {}, {}
 
@@ -74,7 +75,7 @@ FROM (SELECT count(*) FILTER (fraud = 0) AS n, count(*) FILTER (fraud = 1) AS p
 # E4, L1, L4, L8, Z1, H1
 def _logistic(s, d):
     table, chosen = _table(s, d)
-    return table, models.fit_model(train_rows(table), chosen, "lr", {"max_iter": 50})
+    return table, models.fit_model(train_rows(table), chosen, "lr")
 
 
 QUERIES["train_logistic_coefficients"] = lambda s, d: plain(explain.explain_coefficients(models.coefficients(s, _logistic(s, d)[1])))
@@ -113,10 +114,7 @@ QUERIES["experiment_boosted_metrics"] = lambda s, d: plain(_boosted(s, d))
 # V11
 def _grid(s, d):
     table, chosen = _table(s, d)
-    configs = [c for c in experiments.logistic_configs() if c.experiment_name in ("lr_no_mcc", "lr_mcc_minfreq_100")]
-    for c in configs:
-        c.model_params["max_iter"] = 50
-    return experiments.run_grid(table, chosen, configs, "event_id").drop("elapsed_seconds")
+    return experiments.run_grid(table, chosen, experiments.logistic_configs(), "event_id").drop("elapsed_seconds")
 
 
 QUERIES["experiment_logistic_grid"] = lambda s, d: plain(_grid(s, d))
@@ -132,16 +130,19 @@ QUERIES["sink_split_dataset"] = lambda s, d: plain(_written(s, d))
 SQL["sink_split_dataset"] = chain(f"SELECT event_id, split, {big('fraud', 'fraud')} FROM sev WHERE split = 'validation'")
 
 
-# S1, S2, S5: CSV out with a header, read back under a declared schema
+# S1, S2, S5: the raw table as CSV with a header, read back under its declared schema
 def _csv(s, d):
-    from riskloom.catalog.common import raw_transactions
-    from riskloom.sources import tables
-
     path = scratch(s) + ".csv"
     raw = raw_transactions(s, d)
-    tables.save_cleaned(raw.select("event_id", "amount", "local_timestamp", "ip_risk", "txn_counts", "fraud"), path)
-    return tables.load_cleaned(s, path, "event_id bigint, amount double, local_timestamp string, ip_risk string, txn_counts string, fraud int")
+    tables.save_cleaned(raw, path)
+    return tables.load_transactions(s, path, raw.schema)
 
 
-QUERIES["source_csv_transactions"] = lambda s, d: plain(_csv(s, d))
-SQL["source_csv_transactions"] = chain(f"SELECT event_id, {r6('amount', 'amount')}, local_timestamp, ip_risk, txn_counts, {big('fraud', 'fraud')} FROM txn")
+_RAW_TEXTS = ["currency", "local_timestamp", "payment_channel", "merchant_country", "card_entry_mode", "auth_result", "pin_verif_method", "recurring_flag", "auth_characteristics", "message_type", "term_location", "ip_risk", "txn_counts", "device_id", "merchant_id"]
+_RAW_REALS = ["amount", "mean_amount_30d", "std_amount_30d", "max_amount_30d", "online_share_7d", "night_ratio_30d", "decline_rate_30d", "mcc_entropy_30d", "credit_util_today", "spending_trend"]
+_RAW_INTS = ["mcc", "card_activation_age", "distinct_merchants_7d", "distinct_countries_30d", "chargebacks_365d", "device_diversity_30d", "fraud"]
+QUERIES["source_csv_transactions"] = lambda s, d: plain(_csv(s, d), "days_since_last_txn")
+SQL["source_csv_transactions"] = chain(
+    f"SELECT event_id, {', '.join(_RAW_TEXTS)}, card_present, tokenised, cross_border, {', '.join(r6(c, c) for c in _RAW_REALS)}, "
+    f"{', '.join(big(c, c) for c in _RAW_INTS)}, {real('days_since_last_txn', 'days_since_last_txn')} FROM txn"
+)

@@ -17,6 +17,8 @@ from riskloom.functions.bins import reached
 from riskloom.functions.scalars import share
 
 SCORE, TRUTH = "fraud_probability", "y_true"
+#: Distinct scores that one task sums up in order.
+RANGE_SCORES = 2_000_000
 
 
 def predicted(threshold: float | Column) -> Column:
@@ -64,7 +66,7 @@ def _score_buckets(df: DataFrame, buckets: int) -> Bucketizer:
     """Score ranges of about equal row counts. The cut points are literals, so a lost task recomputes the same ranges."""
     inner = []
     if buckets > 1:
-        inner = df.agg(F.percentile_approx(SCORE, [i / buckets for i in range(1, buckets)])).first()[0] or []
+        inner = df.agg(F.percentile_approx(SCORE, [i / buckets for i in range(1, buckets)], max(10_000, 4 * buckets))).first()[0] or []
     # A bucketizer needs at least one inner point.
     splits = [float("-inf"), *sorted(set(inner) or {0.5}), float("inf")]
     return Bucketizer(splits=splits, inputCol=SCORE, outputCol="bucket", handleInvalid="keep")
@@ -74,13 +76,12 @@ def curve_points(df: DataFrame, by: Sequence[str] = (), buckets: int | None = No
     """Per distinct score: rows of each class at it (``pos``, ``neg``) and at or above it (``tp``, ``fp``).
 
     Scores are grouped first, so ties cost one row. The running totals are taken inside score ranges that
-    run in parallel, plus the totals of the ranges above; no window spans the whole table. The table of
-    range totals has at most one row per group and shuffle partition, which is why it may be broadcast.
+    run in parallel, plus the totals of the ranges above; no window spans the whole table. Unless given, the number of
+    ranges follows the distinct scores, about ``RANGE_SCORES`` each. The range totals have one row per group and range.
     """
-    spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(TRUTH) == 1
     scored = df.where(F.col(SCORE).isNotNull())
+    n = buckets or -(-scored.agg(F.approx_count_distinct(SCORE)).first()[0] // RANGE_SCORES)
     grouped = scored.groupBy(*by, SCORE).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
     bucketed = _score_buckets(scored, n).transform(grouped)
     above = Window.partitionBy(*by).orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -149,11 +150,12 @@ def search_thresholds(df: DataFrame, thresholds: Sequence[float] = SEARCHED_THRE
         .groupBy(*by, reached(F.col(SCORE), levels).alias("level"))
         .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
     )
-    # At most len(levels) + 1 rows per group from here on. Levels nobody reached get a zero row.
-    gaps = counted.select(*by).distinct().select(
-        *by, F.explode(F.sequence(F.lit(0), F.lit(len(levels)))).alias("level"), F.lit(0).cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("neg")
-    )
-    full = counted.unionByName(gaps).groupBy(*by, "level").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    # At most len(levels) + 1 rows per group from here on: one map a group. Levels nobody reached count nothing.
+    entry = F.struct(F.col("level").cast("int"), F.struct("pos", "neg"))
+    held = counted.groupBy(*by).agg(F.map_from_entries(F.collect_list(entry)).alias("held")).where(F.size("held") > 0)
+    every = held.select(*by, "held", F.explode(F.sequence(F.lit(0), F.lit(len(levels)))).alias("level"))
+    found = F.try_element_at("held", F.col("level"))
+    full = every.select(*by, "level", *[F.coalesce(found[c], F.lit(0)).alias(c) for c in ("pos", "neg")])
     upward = Window.partitionBy(*by).orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*by)
     values = F.array(*[F.lit(t) for t in levels])

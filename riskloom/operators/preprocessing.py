@@ -19,6 +19,8 @@ from riskloom.functions.scalars import number
 from riskloom.operators.features import FeatureSet
 
 RARE = "infrequent_sklearn"  # Fixed value: the name of the shared column for rare categories.
+#: Categories with a column of their own, over all columns.
+MAX_CATEGORIES = 20_000
 
 
 @dataclass
@@ -30,16 +32,22 @@ class Preprocessing:
 def frequent_categories(train: DataFrame, columns: Sequence[str], min_frequency: int | None) -> dict[str, tuple[list[str], bool]]:
     """Per column the sorted categories with at least ``min_frequency`` rows, and whether others exist.
 
-    Only frequent categories reach the driver (at most rows / min_frequency per column); the rest is a flag.
+    Only frequent categories reach the driver; the rest is a flag. As each becomes a column of the model, more than
+    ``MAX_CATEGORIES`` in all raise an error: none is dropped in silence.
     """
     if not columns:
         return {}
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.coalesce(F.col(c).cast("string"), F.lit("missing")).alias("v")) for c in columns])
     counted = train.select(F.inline(pairs)).groupBy("c", "v").agg(F.count("*").alias("n"))
-    frequent = F.col("n") >= (min_frequency or 1)
-    per_column = counted.groupBy("c").agg(F.sort_array(F.collect_list(F.when(frequent, F.col("v")))).alias("v"), F.bool_or(~frequent).alias("rare"))
-    found = {r["c"]: (list(r["v"]), r["rare"]) for r in per_column.collect()}
-    return {c: found.get(c, ([], False)) for c in columns}
+    # One row for each frequent category, and one without a value for a column that has rare ones.
+    frequent = F.when(F.col("n") >= (min_frequency or 1), F.col("v"))
+    rows = counted.select("c", frequent.alias("v")).distinct().limit(MAX_CATEGORIES + len(columns) + 1).collect()
+    found: dict[str, set] = {c: set() for c in columns}
+    for r in rows:
+        found[r["c"]].add(r["v"])
+    if sum(len(v - {None}) for v in found.values()) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} frequent categories: raise min_frequency or leave columns out")
+    return {c: (sorted(v - {None}), None in v) for c, v in found.items()}
 
 
 def scaling(train: DataFrame, columns: Sequence[str], scale: bool, method: str = "exact") -> dict[str, tuple[float, float, float]]:
