@@ -203,7 +203,7 @@ _RULE = f"{r6('support / n', 'support_rate')}, {big('s', 'fraud_count')}, {r6('s
 def _combos(flags: list[str], least: int, where: str = "") -> str:
     """All combinations through a self-join of (row, flag) pairs: simple, and not how the query works."""
     positions = "[" + ", ".join(f"'{f}'" for f in flags) + "]"
-    unpivot = "\nUNION ALL ".join(f"SELECT event_id, fraud, {i} AS i FROM feat WHERE {f} = 1 {where}" for i, f in enumerate(flags))
+    unpivot = f"SELECT event_id, fraud, i FROM (SELECT event_id, fraud, unnest([{', '.join(flags)}]) AS v, unnest(range({len(flags)})) AS i FROM feat) WHERE v = 1 {where}"
     name = "({0})[{1}.i + 1]"
     pair = f"{name.format(positions, 'a')} || ' AND ' || {name.format(positions, 'b')}"
     triple = f"{pair} || ' AND ' || {name.format(positions, 'c')}"
