@@ -185,6 +185,27 @@ def test_ngram_components_equal_all_pairs(spark, edge, monkeypatch, n, share, bl
     assert got == plain_components([tuple(r) for r in docs.where("doc_id IS NOT NULL").collect()], n, share)
 
 
+def test_spread_keys_tie_all_their_holders(spark):
+    """A token sent under key 1 (many copies) and keys 2 and 3 (a few near copies each), which share nothing else."""
+    rows = [(1, 50, [1], [9, 1])] * 30 + [(c, 50, [key], [9, key]) for key in (2, 3) for c in range(10 * key, 10 * key + 5)]
+    rows = spark.createDataFrame(rows, "cls long, size long, prefix0 array<long>, hubs0 array<long>").repartition(4)
+    assert {(r.cls, r.root0) for r in ngram_join._tied(rows, 0, Fraction(9, 10)).collect()} == {(c, 1) for c in (1, *range(20, 25), *range(30, 35))}
+
+
+def test_ngram_components_beside_many_exact_copies(spark, monkeypatch):
+    """Copies of one class fill one key of each token; the near copies, which drop and add text, are few under the others."""
+    monkeypatch.setattr(ngram_join, "SPREAD", 200)
+    rng = np.random.default_rng(5)
+    original = [f"u{i}" for i in range(120)]
+    made = [(i, " ".join(original)) for i in range(400)]
+    for i in range(50):
+        new, cut = [f"n{i}x{j}" for j in range(24 - i % 3)], int(rng.integers(0, 3))
+        made.append((1000 + i, " ".join([*original[cut:], *new] if i % 2 else [*new, *original[: 120 - cut]])))
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(16)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_components(docs, 5, Fraction(4, 5)).collect())
+    assert got == plain_components(made, 5, Fraction(4, 5))
+
+
 def test_ngram_components_of_nothing(spark):
     assert ngram_join.ngram_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
