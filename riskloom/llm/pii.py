@@ -2,8 +2,9 @@
 
 The field's variables are the pattern spans of a document, whose labels are observed, and further strings that might be
 personal data: runs of digits, strings with an at sign, and words that repeat the name in front of one. A node factor
-looks at the string's surface, a chain factor ties neighbours, and a skip factor ties a string to the last one with the
-same digits or name, however far it is. Loopy sum-product messages then make the labels of a document agree.
+looks at the string's surface, a chain factor ties neighbours, and skip factors tie a string to the last one with the
+same digits or name and to the observed ones of these around it, however far they are. Loopy sum-product messages, passed until
+they settle, then make the labels of a document agree.
 
 Factors are trained piecewise from the labels the patterns give, over all documents: tasks count surfaces and label pairs, of
 which there are a few thousand kinds, and the node factor is a softmax fitted on these counts. A phone number is also
@@ -21,8 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-#: Marginal probability from which a string is added, rounds of messages, characters between neighbours of the chain.
+#: Marginal probability from which a string is added, rounds of messages at least, characters between neighbours of the chain.
 CERTAIN, ROUNDS, NEAR = 0.9, 8, 80
+#: Change of a document's messages at which they are settled.
+SETTLED = 1e-3
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -132,15 +135,28 @@ def nodes(text: str) -> list[tuple[int, int, int, tuple[int, ...], list[str]]]:
 
 
 def edges(found: list) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain pairs and skip pairs of a document; a string is tied to the last one of its key, so their number is linear."""
+    """Chain pairs and skip pairs of a document.
+
+    A string is tied to the last one of its key. One without a label is also tied to the observed spans of its key next before and
+    after it: it is one hop from them however many repeats lie between, and the number of pairs stays linear.
+    """
     chain = [(i, i + 1) for i in range(len(found) - 1) if found[i + 1][0] - found[i][1] <= NEAR]
     last: dict[str, int] = {}
+    before: dict[str, int] = {}
+    waiting: dict[str, list[int]] = {}
     skip = []
     for i, node in enumerate(found):
         for key in node[4]:
             if key in last:
                 skip.append((last[key], i))
             last[key] = i
+            if node[2] > 0:
+                skip += [(j, i) for j in waiting.pop(key, ())]
+                before[key] = i
+            else:
+                waiting.setdefault(key, []).append(i)
+                if key in before:
+                    skip.append((before[key], i))
     return chain, list(dict.fromkeys(skip))
 
 
@@ -213,16 +229,25 @@ class Field:
         factor = np.concatenate([factor, factor.transpose(0, 2, 1)])  # from left to right, then back
         source, target = np.concatenate([left, right]), np.concatenate([right, left])
         back = np.concatenate([np.arange(len(left)) + len(left), np.arange(len(left))])
-        messages, belief = np.zeros((len(source), 5)), x
-        for _ in range(ROUNDS if len(source) else 0):
-            out = factor + (belief[source] - messages[back])[:, :, None]
+        messages, belief = np.zeros((len(source), 5)), x.copy()
+        owner = np.repeat(np.arange(len(documents)), np.diff(first))
+        # Documents settle one by one. Damped messages hardly ever cycle; where they do, twice the number of variables ends it.
+        edge, node, rounds = np.arange(len(source)), np.arange(len(flat)), 0
+        while len(edge):
+            out = factor[edge] + (belief[source[edge]] - messages[back[edge]])[:, :, None]
             top = out.max(axis=1, keepdims=True)
             new = np.log(np.exp(out - top).sum(axis=1)) + top[:, 0]
-            messages = 0.5 * messages + 0.5 * (new - new.max(axis=1, keepdims=True))
-            belief = x.copy()
-            np.add.at(belief, target, messages)
+            change = 0.5 * (new - new.max(axis=1, keepdims=True) - messages[edge])
+            messages[edge] += change
+            belief[node] = x[node]
+            np.add.at(belief, target[edge], messages[edge])
+            rounds += 1
+            if rounds >= ROUNDS:
+                moved = np.zeros(len(documents))
+                np.maximum.at(moved, owner[source[edge]], np.abs(change).max(axis=1))
+                live = (moved > SETTLED) & (rounds < ROUNDS + 2 * np.diff(first))
+                edge, node = edge[live[owner[source[edge]]]], node[live[owner[node]]]
         marginal = _softmax(belief)
-        owner = np.repeat(np.arange(len(documents)), np.diff(first))
         for i in np.flatnonzero((observed < 0) & (marginal[:, 1:].max(axis=1) >= CERTAIN)):
             added[owner[i]].append((flat[i][0], flat[i][1], int(marginal[i].argmax())))
         return added

@@ -115,6 +115,23 @@ def test_field_labels_what_repeats_a_number(spark):
     assert hidden[0] == "call <PHONE> now"
 
 
+def test_field_labels_every_repeat_however_many():
+    """Fifty repeats far apart, on either side of the observed span; documents labelled together and alone agree."""
+    train = [f"mail jsmith{i:03d}@mail.example.com now" for i in range(200)] + [f"call +1 555 {i:03d} 4444 or 555 {i:03d} 4444" for i in range(100, 300)]
+    train += [f"ref 777 {i % 1000:03d} {i:04d} for" for i in range(1000, 2500)] + ["ping someone@host now"] * 800 + ["mail janedoe@mail.example.com, janedoe@mail.example.com"] * 200
+    counts = Counter()
+    for text in train:
+        pii._count(text, counts)
+    field = pii.Field(counts)
+    name, number, filler = "kellyjones", "555 123 4567", " plain words" * 20
+    texts = [f"mail {name}@mail.example.com{filler}" + f" {name}{filler}" * 50, f" {name}{filler}" * 50 + f"mail {name}@mail.example.com", f"call +1 {number}{filler}" + f" {number}{filler}" * 50]
+    found = [pii.nodes(t) for t in texts]
+    got = field.label(found)
+    assert [len(g) for g in got] == [50, 50, 50] and {k for g in got[:2] for *_, k in g} == {1} and {k for *_, k in got[2]} == {4}
+    assert got == [field.label([f])[0] for f in found]
+    assert all(len(pii.edges(f)[1]) <= 3 * len(f) for f in found)
+
+
 # ---------------------------------------------------------------- op4
 
 
