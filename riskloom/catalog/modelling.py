@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from riskloom.catalog.common import big, chain, featured, plain, r6, raw_transactions, real, scratch, train_rows
@@ -94,7 +96,7 @@ QUERIES["score_and_decide"] = lambda s, d: plain(_decided(s, d))
 # L2, H2
 def _forest(s, d):
     table, chosen = _table(s, d)
-    model = models.fit_model(train_rows(table), chosen, "rf", {"n_estimators": 10, "max_depth": 6})
+    model = models.fit_model(train_rows(table), chosen, "rf")
     return models.importances(s, model)
 
 
@@ -104,7 +106,8 @@ QUERIES["train_forest_importances"] = lambda s, d: plain(_forest(s, d))
 # L3, V10
 def _boosted(s, d):
     table, chosen = _table(s, d)
-    config = experiments.ExperimentConfig("boosted", "catboost", drop_interaction_features=True, model_params={"iterations": 5, "depth": 4, "scale_pos_weight": "auto"})
+    config = next(c for c in experiments.boosting_configs() if c.experiment_name == "cat_gpu_mcc_minfreq_100_no_interactions")
+    config = dataclasses.replace(config, experiment_name="boosted")
     return experiments.run_experiment(table, chosen, config, "event_id").metrics
 
 
