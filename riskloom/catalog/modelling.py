@@ -83,6 +83,18 @@ def _logistic(s, d):
 QUERIES["train_logistic_coefficients"] = lambda s, d: plain(explain.explain_coefficients(models.coefficients(s, _logistic(s, d)[1])))
 
 
+def _coefficients(s, d):
+    return models.coefficients(s, _logistic(s, d)[1])
+
+
+# H3-H5, H7 on the fitted coefficients of all encoded features
+QUERIES["train_logistic_without_codes"] = lambda s, d: plain(explain.coefficients_without(_coefficients(s, d)))
+QUERIES["train_logistic_group_summary"] = lambda s, d: plain(explain.group_summary(explain.explain_coefficients(_coefficients(s, d))))
+QUERIES["train_logistic_importance_summary"] = lambda s, d: plain(explain.importance_summary(_coefficients(s, d).select("feature", F.col("abs_coefficient").alias("importance"))))
+QUERIES["train_logistic_top_raising"] = lambda s, d: plain(explain.top_coefficients(_coefficients(s, d), 10))
+QUERIES["train_logistic_top_lowering"] = lambda s, d: plain(explain.top_coefficients(_coefficients(s, d), 10, raising=False))
+
+
 def _decided(s, d):
     table, model = _logistic(s, d)
     path = scratch(s)
