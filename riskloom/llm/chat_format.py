@@ -78,7 +78,13 @@ def fingerprint(record: Column) -> Column:
 
 def canonical_turns(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """All columns of ``records`` but ``record``, ``mapping`` (null: no layout fits, or no JSON) and ``turns`` of canonical roles."""
-    parsed = records.withColumn("record", F.try_parse_json("record")).withColumn("_print", fingerprint(F.col("record")))
+    # The first parser gives up at strings of 20 million characters; the second takes up to the size limit of a parsed value.
+    text = F.col("record").cast("string")
+    long = F.from_json(text, "variant", {"maxStringLen": str(2**31 - 1)})
+    lost = F.raise_error(F.lit("a record of more than 100 million characters could not be parsed: split it into turns")).cast("variant")
+    long = F.coalesce(long, F.when(F.length(text) > 100_000_000, lost))
+    parsed = records.withColumn("record", F.coalesce(F.try_parse_json(text), F.when(F.length(text) > 1_000_000, long)))
+    parsed = parsed.withColumn("_print", fingerprint(F.col("record")))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(TURNS)
     for m in mappings:
         fits = F.col("_print") == F.xxhash64(F.lit(m.schema))
@@ -100,7 +106,8 @@ def format_chats(records: DataFrame) -> DataFrame:
     """One row a conversation of ``records`` (conv_id, turn, record): conv_id, formatted and loss_mask.
 
     A record may hold one turn or many; ``turn`` orders the records of a conversation, null first, and equal ones go by role and
-    text. Null roles and texts are empty; a null conv_id is a conversation of its own. Records that no mapping fits have no turns;
+    text. Null roles and texts are empty; a null conv_id is a conversation of its own. A record is parsed whole up to 100 million
+    characters; a longer one that no parser takes is an error, not a lost turn. Records that no mapping fits have no turns;
     ``canonical_turns`` shows them. Repeated records are repeated turns. An empty table gives an empty result.
     The mask has a start and a length for each turn, in code points from the turn's beginning; length 0: not trained on.
     """

@@ -107,8 +107,12 @@ def fit(docs: DataFrame, training: F.Column, bound: int = TRAINING_ROWS) -> Mode
     return Model(sample) if sample else None
 
 
-def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """All columns of ``docs`` and ``language`` (lang_pred, score). ``und`` with score 0 for a text that is null or has no letter."""
+def identify(docs: DataFrame, model: Model | None, into: str = "language") -> DataFrame:
+    """All columns of ``docs`` and ``language`` (lang_pred, score). ``und`` with score 0 for a text that is null or has no letter.
+
+    ``into`` names the new column; one of that name in ``docs`` is replaced. Repeated rows are predicted each, texts of any length
+    whole; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -119,4 +123,4 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
         name, score = shared.value.predict(pa.array(text, pa.string(), from_pandas=True))
         return pd.DataFrame({"lang_pred": np.where(lettered, name, "und"), "score": np.where(lettered, score, 0.0)})
 
-    return docs.withColumn("language", predict(F.col("text").cast("string")))
+    return docs.withColumn(into, predict(F.col("text").cast("string")))

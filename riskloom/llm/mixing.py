@@ -39,13 +39,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budge
     ``ceiling`` times its source; the excess is shared by weight among the others until none does.
     """
     grouped = sizes.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size"))
-    # One row a source. They are numbered by ranges: rows before the range, and the place in it.
-    order = [F.col("source").asc_nulls_last()]
-    parted = storage.stored(grouped.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "mixing-sources")
-    parts = parted.groupBy("part").agg(F.count("*").alias("rows"))
-    before = parts.select("part", F.coalesce(F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
-    numbered = parted.withColumn("place", place).join(before, "part").withColumn("sid", F.col("before") + F.col("place"))
+    numbered = storage.numbered(grouped, [F.col("source").asc_nulls_last()], "sid")
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod("sid", F.lit(len(weights))) + 1).cast("int"))
     table = storage.stored(numbered.select("sid", "source", "docs", "source_size", weight.alias("weight"), (ceiling * F.col("source_size")).alias("top")), "mixing-weights")
     total = table.agg(F.sum("source_size")).first()[0] or 0

@@ -10,7 +10,9 @@ their window by their rank within their length, which is a prefix sum over tasks
 from __future__ import annotations
 
 import re
+import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,64 +21,90 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import storage
 
-#: Words a task remembers the ids of.
-CACHE = 1 << 20
+#: Bytes, about, of what a task remembers of the words it met last; code points of a word that is kept.
+CACHE, KEPT = 16 << 20, 64
+#: Code points of a text that are split into words at a time; cuts fall on white space.
+PART = 1 << 20
 # Text that the tokenizer's normaliser only lower-cases: ASCII and composed Latin letters.
 _PLAIN = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ÿ]*")
 # The word pattern of the tokenizer file, for such text.
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+_SEPARATORS, _SPACE = re.compile("[\x1c-\x1f]"), re.compile(r"\s")
 
 
-class WordIds(dict):
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Recent(dict):
+    """What was asked for of late: two generations of at most ``limit`` bytes, about; the older one goes when the younger is full."""
+
+    #: Bytes of an entry beside its key and value.
+    ENTRY = 200
+
+    def __init__(self, make, limit: int):
+        self.make, self.limit, self.size, self.older = make, limit, 0, {}
+
+    def __missing__(self, key: str) -> bytes:
+        out = self.older.get(key)
+        if out is None:
+            out = self.make(key)
+        if len(key) <= KEPT:
+            self.size += len(key) + len(out) + self.ENTRY
+            if self.size > self.limit:
+                self.older = dict(self)
+                self.clear()
+                self.size = 0
+            self[key] = out
+        return out
+
+
+class WordIds:
     """Ids of white-space separated strings as little-endian 32-bit numbers, by a tokenizer that drops white space.
 
-    Such a tokenizer encodes each string by itself. Plain strings are split by its word pattern and each word goes to its
-    merges once; all others, and those with a special token, go through the whole tokenizer.
+    Such a tokenizer encodes each string by itself. Plain texts and strings are split by its word pattern and the words go to its
+    merges; all other strings, and those with a special token, go through the whole tokenizer. What is remembered is bounded in bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
+        special = "|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.special = re.compile(special or r"(?!)").search
+        limit = CACHE if limit is None else limit
+        self.strings, self.words = Recent(self._string, limit), Recent(self._word, limit)
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # the byte alphabet of byte-level merges
         hidden = iter(range(256, 512))
         self.alphabet = {b: chr(b) if b in visible else chr(next(hidden)) for b in range(256)}
 
-    def __missing__(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            out = b"".join([self.words.get(w) or self._word(w) for w in _WORDS.findall(text.lower())])
-        if len(self) >= CACHE:
-            self.clear()
-        self[text] = out
-        return out
+    def _string(self, text: str) -> bytes:
+        if self.special(text) or not _PLAIN.fullmatch(text):
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
 
     def _word(self, word: str) -> bytes:
-        if len(self.words) >= CACHE:
-            self.words.clear()
-        shown = word if word.isascii() else "".join(map(self.alphabet.__getitem__, word.encode()))
-        if word.isascii() and not word.isprintable():
-            shown = "".join(map(self.alphabet.__getitem__, word.encode()))
-        self.words[word] = out = np.array([t.id for t in self.tokenizer.model.tokenize(shown)], "<u4").tobytes()
-        return out
+        shown = word if word.isascii() and word.isprintable() else "".join(map(self.alphabet.__getitem__, word.encode()))
+        return _bytes([t.id for t in self.tokenizer.model.tokenize(shown)])
 
     def encode(self, text: str) -> bytes:
-        if re.search("[\x1c-\x1f]", text):  # split() takes these for white space, the tokenizer doesn't
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, text.split()))
-
+        if _SEPARATORS.search(text):  # split() takes these for white space, the tokenizer doesn't
+            return _bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self._part, _parts(text)))
 
-_encoders: dict[str, WordIds] = {}
+    def _part(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text) and not self.special(text):
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
+        return b"".join(map(self.strings.__getitem__, text.split()))
 
 
-def encoder(path: str) -> WordIds:
-    """One encoder for each Python worker and file: what it remembers serves later tasks, too."""
-    if path not in _encoders:
-        _encoders[path] = WordIds(path)
-    return _encoders[path]
+def _parts(text: str) -> Iterator[str]:
+    at = 0
+    while at < len(text):
+        space = _SPACE.search(text, at + PART)
+        end = space.start() if space else len(text)
+        yield text[at:end]
+        at = end
 
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long, rank long, ids binary"
@@ -88,7 +116,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 4096, ke
     def run(batches):
         from pyspark import TaskContext
 
-        ids_of, task, ranks, end = encoder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), np.uint32(end_id).tobytes()
+        ids_of, task, ranks, end = WordIds(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), np.uint32(end_id).tobytes()
         for batch in batches:
             columns: list[list] = [[] for _ in range(8)]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):

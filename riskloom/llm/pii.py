@@ -1,7 +1,8 @@
 """Personal data in whole texts: pattern spans, and a skip-chain conditional random field that adds to them.
 
 The field's variables are the pattern spans of a document, whose labels are observed, and further strings that might be
-personal data: runs of digits, strings with an at sign, and words that repeat the name in front of one. A node factor
+personal data: runs of digits, strings with an at sign, words that repeat the name in front of one, and strings that repeat a secret.
+Secrets are observed where a key word assigns them or their form is a published one. A node factor
 looks at the string's surface, a chain factor ties neighbours, and skip factors tie a string to the last one with the
 same digits or name and to the observed ones of these around it, however far they are. Loopy sum-product messages, passed until
 they settle, then make the labels of a document agree.
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
+#: Labels of the field: the kinds of the base patterns, and secrets, which have patterns of their own.
+LABELS = (*KINDS, "secret")
 #: Marginal probability from which a string is added, rounds of messages at least, characters between neighbours of the chain.
 CERTAIN, ROUNDS, NEAR = 0.9, 8, 80
 #: Change of a document's messages at which they are settled.
@@ -32,9 +35,16 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[+(]?[0-9](?:[\x20().-]{0,2}[0-9])+")
-_AT = re.compile(r"[^\s@]+@[^\s@]+")
+# A run is tried from its start only, and never given back: linear in a text without white space.
+_AT = re.compile(r"(?<![^\s@])[^\s@]++@[^\s@]++")
 _NAME = re.compile(r"[A-Za-z0-9._%+-]+")
 _ANY = re.compile(r"[0-9@]")
+# Words in front of a secret, and published forms of access keys.
+_ASSIGNED = re.compile(
+    r"(?i:api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key|secret|token|passw(?:or)?d)[\"']?[\x20\t]{0,3}[:=][\x20\t]{0,3}[\"']?([A-Za-z0-9_/+=.-]{16,})"
+)
+_FORMS = re.compile(r"(?<![A-Za-z0-9_-])(?:A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9_-]{20,}|xox[abprs]-[A-Za-z0-9-]{10,})(?![A-Za-z0-9_-])")
+_TOKEN = re.compile(r"[A-Za-z0-9_/+=.-]{16,}")
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
@@ -91,6 +101,18 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def secrets(text: str) -> list[tuple[int, int]]:
+    """Spans of strings that a key word assigns, and of known forms: letters and digits, at least eight of them different."""
+    found = {m.span(1) for m in _ASSIGNED.finditer(text)} | {m.span() for m in _FORMS.finditer(text)}
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(found):
+        part = text[s:e].rstrip(".=")
+        signs = set(part)
+        if len(part) >= 16 and len(signs) >= 8 and any("0" <= c <= "9" for c in signs) and any(c.isalpha() for c in signs) and (not out or s >= out[-1][1]):
+            out.append((s, s + len(part)))
+    return out
+
+
 def _keys(text: str) -> list[str]:
     """What makes two strings repeated or similar: their last seven digits, the name before an at sign, the same word."""
     digits, name = _only_digits(text), text.partition("@")[0].lower()
@@ -111,11 +133,11 @@ SURFACE = (6, 4, 2, 2, 2, 2, 2, 2, 2)
 
 
 def nodes(text: str) -> list[tuple[int, int, int, tuple[int, ...], list[str]]]:
-    """(start, end, label or -1, surface, keys) of a document's variables by start. Labels count from 1 in the order of KINDS."""
-    base = base_spans(text)
-    if not base and not _ANY.search(text):
+    """(start, end, label or -1, surface, keys) of a document's variables by start. Labels count from 1 in the order of LABELS."""
+    if not _ANY.search(text):
         return []
-    taken = sorted((s, e) for _, s, e in base)
+    base, hidden = base_spans(text), secrets(text)
+    taken = sorted([(s, e) for _, s, e in base] + hidden)
     names = {text[s:e].partition("@")[0].lower() for k, s, e in base if k == "email"}
     names = {n for n in names if len(n) >= 5 and not n.isdigit()}
     more = [m.span() for m in _DIGITS.finditer(text) if m.end() - m.start() >= 7 and len(_only_digits(m[0])) >= 7]
@@ -123,7 +145,11 @@ def nodes(text: str) -> list[tuple[int, int, int, tuple[int, ...], list[str]]]:
         more += [m.span() for m in _AT.finditer(text)]
     if names:
         more += [m.span() for m in _NAME.finditer(text) if m[0].lower() in names]
-    out, top, at = [(s, e, KINDS.index(k) + 1) for k, s, e in base], 0, 0
+    if hidden:
+        same = {text[s:e] for s, e in hidden}
+        more += [(m.start(), m.start() + len(m[0].rstrip(".="))) for m in _TOKEN.finditer(text) if m[0].rstrip(".=") in same]
+    out = [(s, e, KINDS.index(k) + 1) for k, s, e in base] + [(s, e, len(LABELS)) for s, e in hidden]
+    top, at = 0, 0
     for s, e in sorted(more, key=lambda x: (x[0], -x[1])):
         while at < len(taken) and taken[at][1] <= s:
             at += 1
@@ -184,7 +210,7 @@ class Field:
         width = sum(SURFACE) + 1
         rows = sorted((k[1], k[2:], n) for k, n in counts.items() if k[0] == "node")
         self.first = np.concatenate(([0], np.cumsum(SURFACE)))[: len(SURFACE)]
-        self.weights = np.zeros((width, 5))
+        self.weights = np.zeros((width, len(LABELS) + 1))
         if rows:
             x = np.zeros((len(rows), width))
             for r, (_, surface, _) in enumerate(rows):
@@ -195,7 +221,7 @@ class Field:
                 p = _softmax(x @ self.weights)
                 p[np.arange(len(y)), y] -= 1
                 self.weights -= 2.0 * (x.T @ (p * n[:, None]) + 1e-4 * self.weights)
-        chain = np.ones((5, 5))
+        chain = np.ones((len(LABELS) + 1,) * 2)
         agree, differ = 1.0, 1.0
         for k, n in counts.items():
             if k[0] == "chain":
@@ -204,7 +230,7 @@ class Field:
                 agree, differ = agree + n * (k[1] == k[2]), differ + n * (k[1] != k[2])
         expected = chain.sum(axis=1, keepdims=True) * chain.sum(axis=0, keepdims=True) / chain.sum()
         self.chain = np.clip(np.log(chain / expected), -1, 1)
-        self.skip = np.diag([0.0, 1, 1, 1, 1]) * np.clip(np.log(agree / differ), 0, 5)
+        self.skip = np.diag([0.0] + [1.0] * len(LABELS)) * np.clip(np.log(agree / differ), 0, 5)
 
     def label(self, documents: list[list]) -> list[list[tuple[int, int, int]]]:
         """Spans that the field adds to each document: all its variables exchange messages together."""
@@ -225,11 +251,11 @@ class Field:
         x[observed > 0] = -30.0
         x[observed > 0, observed[observed > 0]] = 0.0
         left, right, table = (np.array(v, np.int64) for v in (left, right, table))
-        factor = np.stack([self.chain, self.skip])[table] if len(table) else np.zeros((0, 5, 5))
+        factor = np.stack([self.chain, self.skip])[table] if len(table) else np.zeros((0, *self.chain.shape))
         factor = np.concatenate([factor, factor.transpose(0, 2, 1)])  # from left to right, then back
         source, target = np.concatenate([left, right]), np.concatenate([right, left])
         back = np.concatenate([np.arange(len(left)) + len(left), np.arange(len(left))])
-        messages, belief = np.zeros((len(source), 5)), x.copy()
+        messages, belief = np.zeros((len(source), len(LABELS) + 1)), x.copy()
         owner = np.repeat(np.arange(len(documents)), np.diff(first))
         # Documents settle one by one. Damped messages hardly ever cycle; where they do, twice the number of variables ends it.
         edge, node, rounds = np.arange(len(source)), np.arange(len(flat)), 0
@@ -267,7 +293,8 @@ def fit(docs: DataFrame) -> Field:
             for text in batch["text"]:
                 if text:
                     _count(text, counts)
-        yield pd.DataFrame({"k": [",".join(map(str, k)) for k in counts], "n": list(counts.values())})
+        if counts:
+            yield pd.DataFrame({"k": [",".join(map(str, k)) for k in counts], "n": list(counts.values())})
 
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(run, "k string, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
     keys = [r.k.split(",") for r in rows]
@@ -277,10 +304,11 @@ def fit(docs: DataFrame) -> Field:
 SPANS = "array<struct<kind: string, start: long, end: long, base: boolean>>"
 
 
-def with_spans(docs: DataFrame, field: Field) -> DataFrame:
+def with_spans(docs: DataFrame, field: Field, into: str = "spans") -> DataFrame:
     """All columns of ``docs`` and ``spans`` by kind as listed, then start; in code points, ends exclusive.
 
-    A null or empty text has none. Repeated rows are searched each; an empty table gives an empty result.
+    ``into`` names the new column; one of that name in ``docs`` is replaced. A null or empty text has no spans, and time is linear
+    in a text without white space, too. Repeated rows are searched each; an empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -290,15 +318,15 @@ def with_spans(docs: DataFrame, field: Field) -> DataFrame:
         found = [nodes(t) for t in texts]
         out = []
         for mine, more in zip(found, shared.value.label(found)):
-            spans = [(k, s, e, True) for s, e, k, *_ in mine if k > 0] + [(k, s, e, False) for s, e, k in more]
-            out.append([{"kind": KINDS[k - 1], "start": s, "end": e, "base": b} for k, s, e, b in sorted(spans)])
+            spans = [(k, s, e, k <= len(KINDS)) for s, e, k, *_ in mine if k > 0] + [(k, s, e, False) for s, e, k in more]
+            out.append([{"kind": LABELS[k - 1], "start": s, "end": e, "base": b} for k, s, e, b in sorted(spans)])
         return pd.Series(out)
 
-    return docs.withColumn("spans", find(F.col("text").cast("string")))
+    return docs.withColumn(into, find(F.col("text").cast("string")))
 
 
-def redacted(docs: DataFrame) -> DataFrame:
-    """``text`` of a table with ``spans``, each span (or run of overlapping spans) replaced by its first kind in capitals."""
+def redacted(docs: DataFrame, found: str = "spans") -> DataFrame:
+    """``text`` of a table with spans in the column ``found``, each span (or run of overlapping spans) replaced by its first kind in capitals."""
 
     @F.pandas_udf("string")
     def hide(text: pd.Series, spans: pd.Series) -> pd.Series:
@@ -312,4 +340,4 @@ def redacted(docs: DataFrame) -> DataFrame:
             out.append("".join([*parts, t[at:]]) if parts else t)
         return pd.Series(out, dtype=object)
 
-    return docs.withColumn("text", F.when(F.size("spans") > 0, hide(F.col("text").cast("string"), "spans")).otherwise(F.col("text")))
+    return docs.withColumn("text", F.when(F.size(found) > 0, hide(F.col("text").cast("string"), found)).otherwise(F.col("text")))

@@ -78,8 +78,12 @@ def in_fold(divisor: int, remainder: int) -> F.Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == remainder, F.lit(False))
 
 
-def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """All columns of ``docs`` and ``quality_score`` (0 to 1). A null or empty text gets what the model says without features."""
+def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], into: str = "quality_score") -> DataFrame:
+    """All columns of ``docs`` and ``quality_score`` (0 to 1). A null or empty text gets what the model says without features.
+
+    ``into`` names the new column; one of that name in ``docs`` is replaced. Repeated rows are scored each, texts of any length
+    whole; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -88,4 +92,4 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame
         z = FEATURES.means(pa.array(text, pa.string(), from_pandas=True), weights[:, None])[:, 0] + bias
         return pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
-    return docs.withColumn("quality_score", score(F.col("text").cast("string")))
+    return docs.withColumn(into, score(F.col("text").cast("string")))

@@ -31,6 +31,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("spans", lambda s: s["base"])
     counts = [F.expr(f"CAST(size(filter(spans, s -> s.base AND s.kind = '{kind}')) AS LONG)").alias(f"n_{kind}") for kind in pii.KINDS]
+    counts += [F.expr("CAST(size(filter(spans, s -> s.kind = 'secret')) AS LONG)").alias("n_secret"), F.size("spans").cast("long").alias("n_spans")]
     return found.select("doc_id", *counts, F.sha2(shown(base).cast("binary"), 256).alias("base_sha256"), shown(F.col("spans")).alias("spans"))
 
 
@@ -56,7 +57,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = "\\### Assistant: </turn> ok"
     more = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     rows = one.union(more)
-    records = rows.select("conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    # A turn is a record in one of three layouts, by its conversation: the fingerprint has to tell them apart.
+    layouts = [F.struct("role", "text"), F.struct(F.array(F.struct("role", F.col("text").alias("content"))).alias("messages")), F.struct(F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value"))).alias("conversations"))]
+    asked, (first, second, third) = F.pmod("conv_id", F.lit(3)), [F.to_json(x, {"ignoreNullFields": "false"}) for x in layouts]
+    records = rows.select("conv_id", "turn", F.when(asked == 1, second).when(asked == 2, third).otherwise(first).alias("record"))
     rows = chat_format.read_chats(chat_format.format_chats(records))
     text = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return rows.select(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,3 +33,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with ``name``, the place of each row in a total order from 0: ranges are sorted apart and counted, not gathered."""
+    part = free_name(df, "_part")
+    parted = stored(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "numbered")
+    rows = parted.groupBy(part).agg(F.count("*").alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.select(part, F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
+    return parted.withColumn(name, place).join(rows, part).withColumn(name, F.col("_before") + F.col(name)).drop(part, "_before")
