@@ -1,7 +1,8 @@
 """A training corpus from ``documents``: language, quality, near copies, personal data, packing.
 
-Each stage takes the documents its predecessor kept, and all but the last return the columns of documents. ``run`` writes
-each stage's rows to the shared folder and reads them back for the next.
+Each stage takes the documents its predecessor kept, and all but the last return the columns of documents, whatever further columns
+there are and whatever their names. ``run`` writes each stage's rows to the shared folder and reads them back for the next.
+An empty table passes all stages empty; texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -19,35 +20,58 @@ MIN_LANGUAGE, MIN_QUALITY = 0.5, 0.3
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, and those of no clear language, go."""
-    found = language_id.identify(docs, language_id.fit(docs, F.lit(True)))
-    return found.where((F.col("language.lang_pred") != "und") & (F.col("language.score") >= MIN_LANGUAGE)).select(*docs.columns)
+    """Documents without letters, null texts, and those of no clear language go. Repeated rows share their fate."""
+    name = storage.free_name(docs, "_language")
+    found = language_id.identify(docs, language_id.fit(docs, F.lit(True)), name)
+    return found.where((F.col(name)["lang_pred"] != "und") & (F.col(name)["score"] >= MIN_LANGUAGE)).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of low quality go. The classifier learns from the labels of the documents that are left."""
+    """Documents of low quality go. The classifier learns from the labels of the documents that are left; without any, all stay."""
     model = quality_model.fit(docs, storage.table(spark, sf_dir, "labels"), F.lit(True))
-    return quality_model.score_quality(docs, model).where(F.col("quality_score") >= MIN_QUALITY).select(*docs.columns)
+    name = storage.free_name(docs, "_quality")
+    return quality_model.score_quality(docs, model, name).where(F.col(name) >= MIN_QUALITY).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five words, similarity 0.8) the document with the least id stays, once."""
-    found = ngram_join.ngram_components(docs, n=5, threshold=Fraction(4, 5))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    one = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").withColumn("_copy", one).where("_copy = 1")
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    """Of each component of near copies (five words, similarity 0.8) the document with the least id stays, once.
+
+    Rows that share a doc_id but not the text are documents of their own, and so are those without one: they come after all others,
+    by doc_id and text. A null or empty text has no copies; repeated rows are copies.
+    """
+    id_, text, sid, key = F.col("doc_id").cast("long"), F.col("text").cast("string"), storage.free_name(docs, "_sid"), storage.free_name(docs, "_key")
+    docs = docs.withColumn(sid, id_).withColumn(key, F.xxhash64(text))
+    shared = docs.groupBy(sid).agg(F.count("*").alias("n")).where(f"n > 1 OR {sid} IS NULL").select(F.col(sid).alias("shared"))
+    shared = storage.stored(shared, "shared-ids")
+    odd = not shared.isEmpty()
+    if odd:
+        apart = F.col(sid).eqNullSafe(F.col("shared"))
+        odd_rows = docs.join(shared, apart, "left_semi")
+        top = (docs.agg(F.max(sid)).first()[0] or 0) + 1
+        order = [F.col(sid).asc_nulls_last(), F.col(key)]
+        places = storage.numbered(odd_rows.select(sid, key).distinct(), order, "place").select(F.col(sid).alias("_id"), F.col(key).alias("_text"), (F.col("place") + top).alias("_place"))
+        places = storage.stored(places, "shared-places")
+        same = F.col(sid).eqNullSafe(F.col("_id")) & F.col(key).eqNullSafe(F.col("_text"))
+        odd_rows = odd_rows.join(places, same).withColumn(sid, F.col("_place")).drop("_id", "_text", "_place")
+        docs = storage.stored(docs.join(shared, apart, "left_anti").unionByName(odd_rows), "near-copies-rows")
+    found = ngram_join.ngram_components(docs.select(F.col(sid).alias("doc_id"), text.alias("text")), n=5, threshold=Fraction(4, 5))
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(sid)).distinct()
+    docs = docs.join(kept, sid, "left_semi")
+    if odd:  # Spark limits the copies of a row in each task before they meet
+        docs = docs.withColumn(key, F.row_number().over(Window.partitionBy(sid).orderBy(sid))).where(F.col(key) == 1)
+    return docs.drop(sid, key)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind."""
-    found = pii.redacted(pii.with_spans(docs, pii.fit(docs)))
-    changed = F.size("spans") > 0
-    return found.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Personal data and secrets are replaced by their kind; ``n_chars`` follows. All documents stay."""
+    name = storage.free_name(docs, "_spans")
+    found = pii.redacted(pii.with_spans(docs, pii.fit(docs), name), name)
+    size = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return found.withColumn("n_chars", F.when(F.size(name) > 0, size).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens, with their ids."""
+    """Pieces of documents in sequences of 4096 tokens, with their ids. A null or empty text is an end token."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
