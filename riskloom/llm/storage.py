@@ -35,6 +35,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch of whole texts.
+BATCH = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH`` bytes where the session leaves their size at Spark's 64 MiB: a worker holds several copies of one."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name).removesuffix("b") == str(64 << 20):
+        spark.conf.set(name, str(BATCH))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
