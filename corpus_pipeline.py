@@ -21,6 +21,7 @@ MIN_LANGUAGE, MIN_QUALITY = 0.5, 0.3
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, null texts, and those of no clear language go. Repeated rows share their fate."""
+    storage.small_batches(spark)
     name = storage.free_name(docs, "_language")
     found = language_id.identify(docs, language_id.fit(docs, F.lit(True)), name)
     return found.where((F.col(name)["lang_pred"] != "und") & (F.col(name)["score"] >= MIN_LANGUAGE)).select(*docs.columns)
@@ -28,6 +29,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of low quality go. The classifier learns from the labels of the documents that are left; without any, all stay."""
+    storage.small_batches(spark)
     model = quality_model.fit(docs, storage.table(spark, sf_dir, "labels"), F.lit(True))
     name = storage.free_name(docs, "_quality")
     return quality_model.score_quality(docs, model, name).where(F.col(name) >= MIN_QUALITY).select(*docs.columns)
@@ -39,6 +41,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share a doc_id but not the text are documents of their own, and so are those without one: they come after all others,
     by doc_id and text. A null or empty text has no copies; repeated rows are copies.
     """
+    storage.small_batches(spark)
     id_, text, sid, key = F.col("doc_id").cast("long"), F.col("text").cast("string"), storage.free_name(docs, "_sid"), storage.free_name(docs, "_key")
     docs = docs.withColumn(sid, id_).withColumn(key, F.xxhash64(text))
     shared = docs.groupBy(sid).agg(F.count("*").alias("n")).where(f"n > 1 OR {sid} IS NULL").select(F.col(sid).alias("shared"))
@@ -64,6 +67,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced by their kind; ``n_chars`` follows. All documents stay."""
+    storage.small_batches(spark)
     name = storage.free_name(docs, "_spans")
     found = pii.redacted(pii.with_spans(docs, pii.fit(docs), name), name)
     size = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -72,6 +76,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens, with their ids. A null or empty text is an end token."""
+    storage.small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
