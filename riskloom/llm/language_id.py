@@ -6,6 +6,7 @@ languages of a family by a machine for each pair. All hyperplanes together are o
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -15,6 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import text_arrays
 from riskloom.llm.hashed_features import Hashed
 from riskloom.llm.quality_model import sparse_rows
 
@@ -116,11 +118,18 @@ def identify(docs: DataFrame, model: Model | None, into: str = "language") -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(text: pd.Series) -> pd.DataFrame:
-        lettered = np.array([isinstance(t, str) and _LETTER.search(t) is not None for t in text], bool)
-        if shared.value is None:
-            return pd.DataFrame({"lang_pred": ["und"] * len(text), "score": 0.0})
-        name, score = shared.value.predict(pa.array(text, pa.string(), from_pandas=True))
-        return pd.DataFrame({"lang_pred": np.where(lettered, name, "und"), "score": np.where(lettered, score, 0.0)})
+    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = shared.value
+
+        def run(batches):
+            for text in batches:
+                lettered = np.array([isinstance(t, str) and _LETTER.search(t) is not None for t in text], bool)
+                if model is None:
+                    yield pd.DataFrame({"lang_pred": ["und"] * len(text), "score": 0.0})
+                else:
+                    name, score = model.predict(pa.array(text, pa.string(), from_pandas=True))
+                    yield pd.DataFrame({"lang_pred": np.where(lettered, name, "und"), "score": np.where(lettered, score, 0.0)})
+
+        yield from text_arrays.handing_back(run)(texts)
 
     return docs.withColumn(into, predict(F.col("text").cast("string")))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm import storage
+from riskloom.llm import storage, text_arrays
 
 #: Bytes, about, of what a task remembers of the words it met last; code points of a word that is kept.
 CACHE, KEPT = 16 << 20, 64
@@ -132,7 +132,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 4096, ke
             names = [c.split()[0] for c in PIECE.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, PIECE)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(text_arrays.handing_back(run), PIECE)
 
 
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:

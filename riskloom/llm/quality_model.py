@@ -7,12 +7,15 @@ linear, scoring folds the output into one number a bucket: one table of fixed si
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import text_arrays
 from riskloom.llm.hashed_features import Hashed
 
 #: Buckets (2 ** bits), width of a vector, passes over the sample, and step size.
@@ -31,7 +34,7 @@ def sparse_rows(rows: DataFrame, features: Hashed, target: str) -> list[tuple[np
             yield pa.RecordBatch.from_arrays([pa.array([a.tobytes() for a, _ in found], pa.binary()), pa.array([b.tobytes() for _, b in found], pa.binary()), batch.column(target)], names=["ids", "shares", "target"])
 
     kind = rows.schema[target].dataType.simpleString()
-    out = rows.select("text", target).mapInArrow(run, f"ids binary, shares binary, target {kind}").collect()
+    out = rows.select("text", target).mapInArrow(text_arrays.handing_back(run), f"ids binary, shares binary, target {kind}").collect()
     out.sort(key=lambda r: (str(r.target), r.ids))  # the order of training doesn't depend on that of the tasks
     return [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32), r.target) for r in out]
 
@@ -87,9 +90,14 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float], into: str =
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights, bias = shared.value
-        z = FEATURES.means(pa.array(text, pa.string(), from_pandas=True), weights[:, None])[:, 0] + bias
-        return pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+
+        def run(batches):
+            for text in batches:
+                z = FEATURES.means(pa.array(text, pa.string(), from_pandas=True), weights[:, None])[:, 0] + bias
+                yield pd.Series(1 / (1 + np.exp(-np.clip(z, -500, 500))))
+
+        yield from text_arrays.handing_back(run)(texts)
 
     return docs.withColumn(into, score(F.col("text").cast("string")))

@@ -7,7 +7,9 @@ windows, so memory follows the words of one text, not the batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -119,3 +121,17 @@ def windows(words: np.ndarray, n: int) -> np.ndarray:
     for k in range(1, span):
         out = mix(out * U64(3) + words[k : len(words) - span + 1 + k])
     return out
+
+
+def handing_back(run: Callable) -> Callable:
+    """``run``, after whose last batch the worker gives freed memory back: it may stay idle while others of its executor work."""
+
+    @wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return wrapped
