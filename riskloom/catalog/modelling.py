@@ -132,6 +132,26 @@ def _grid(s, d):
     return experiments.run_grid(table, chosen, experiments.logistic_configs(), "event_id").drop("elapsed_seconds")
 
 
+def _boosting_grid(s, d):
+    table, chosen = _table(s, d)
+    return experiments.run_grid(table, chosen, experiments.boosting_configs(), "event_id").drop("elapsed_seconds")
+
+
+def _tuning_grid(s, d):
+    table, chosen = _table(s, d)
+    return experiments.run_grid(table, chosen, experiments.tuning_configs(), "event_id").drop("elapsed_seconds")
+
+
+def _gains(s, d):
+    table, chosen = _table(s, d)
+    config = next(c for c in experiments.tuning_configs() if c.experiment_name == "cat_tune_depth7_l2_8_lr003_iter700")
+    used = chosen.narrowed(config.drop_categorical_features, config.drop_interaction_features)
+    return models.importances(s, models.fit_model(train_rows(table), used, config.model_name, config.model_params, True, config.min_frequency))
+
+
+QUERIES["experiment_boosting_grid"] = lambda s, d: plain(_boosting_grid(s, d))
+QUERIES["experiment_tuning_grid"] = lambda s, d: plain(_tuning_grid(s, d))
+QUERIES["train_boosted_gains"] = lambda s, d: plain(_gains(s, d))
 QUERIES["experiment_logistic_grid"] = lambda s, d: plain(_grid(s, d))
 
 
