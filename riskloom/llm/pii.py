@@ -16,12 +16,15 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import text_arrays
+
 KINDS = ("email", "ip", "card", "phone")
 #: Labels of the field: the kinds of the base patterns, and secrets, which have patterns of their own.
 LABELS = (*KINDS, "secret")
@@ -296,7 +299,7 @@ def fit(docs: DataFrame) -> Field:
         if counts:
             yield pd.DataFrame({"k": [",".join(map(str, k)) for k in counts], "n": list(counts.values())})
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(run, "k string, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(text_arrays.handing_back(run), "k string, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
     keys = [r.k.split(",") for r in rows]
     return Field({(k[0], *map(int, k[1:])): r.n for k, r in zip(keys, rows)})
 
@@ -304,6 +307,25 @@ def fit(docs: DataFrame) -> Field:
 SPANS = "array<struct<kind: string, start: long, end: long, base: boolean>>"
 
 
+def _spans_of(texts: list[str], field: Field) -> list[list[dict]]:
+    found = [nodes(t) for t in texts]
+    out = []
+    for mine, more in zip(found, field.label(found)):
+        spans = [(k, s, e, k <= len(KINDS)) for s, e, k, *_ in mine if k > 0] + [(k, s, e, False) for s, e, k in more]
+        out.append([{"kind": LABELS[k - 1], "start": s, "end": e, "base": b} for k, s, e, b in sorted(spans)])
+    return out
+
+
+def _hidden(text: str | None, spans: list[dict]) -> str | None:
+    """The text with each span, or run of overlapping spans, replaced by its first kind in capitals."""
+    parts, at = [], 0
+    for s in sorted(spans, key=lambda s: (s["start"], -s["end"])) if text else ():
+        if s["start"] >= at:
+            parts += [text[at : s["start"]], f"<{s['kind'].upper()}>"]
+        at = max(at, s["end"])
+    return "".join([*parts, text[at:]]) if parts else text
+
+
 def with_spans(docs: DataFrame, field: Field, into: str = "spans") -> DataFrame:
     """All columns of ``docs`` and ``spans`` by kind as listed, then start; in code points, ends exclusive.
 
@@ -313,14 +335,12 @@ def with_spans(docs: DataFrame, field: Field, into: str = "spans") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     @F.pandas_udf(SPANS)
-    def find(text: pd.Series) -> pd.Series:
-        texts = [t or "" for t in text]
-        found = [nodes(t) for t in texts]
-        out = []
-        for mine, more in zip(found, shared.value.label(found)):
-            spans = [(k, s, e, k <= len(KINDS)) for s, e, k, *_ in mine if k > 0] + [(k, s, e, False) for s, e, k in more]
-            out.append([{"kind": LABELS[k - 1], "start": s, "end": e, "base": b} for k, s, e, b in sorted(spans)])
-        return pd.Series(out)
+    def find(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def run(batches):
+            for text in batches:
+                yield pd.Series(_spans_of([t or "" for t in text], shared.value))
+
+        yield from text_arrays.handing_back(run)(texts)
 
     return docs.withColumn(into, find(F.col("text").cast("string")))
 
@@ -330,14 +350,25 @@ def redacted(docs: DataFrame, found: str = "spans") -> DataFrame:
 
     @F.pandas_udf("string")
     def hide(text: pd.Series, spans: pd.Series) -> pd.Series:
-        out = []
-        for t, found in zip(text, spans):
-            parts, at = [], 0
-            for s in sorted(found, key=lambda s: (s["start"], -s["end"])) if t else ():
-                if s["start"] >= at:
-                    parts += [t[at : s["start"]], f"<{s['kind'].upper()}>"]
-                at = max(at, s["end"])
-            out.append("".join([*parts, t[at:]]) if parts else t)
-        return pd.Series(out, dtype=object)
+        return pd.Series([_hidden(t, s) for t, s in zip(text, spans)], dtype=object)
 
     return docs.withColumn("text", F.when(F.size(found) > 0, hide(F.col("text").cast("string"), found)).otherwise(F.col("text")))
+
+
+def without_spans(docs: DataFrame, field: Field, into: str = "redacted") -> DataFrame:
+    """All columns of ``docs`` and ``redacted`` (text, spans: their number): ``redacted(with_spans(...))`` in one step of one worker.
+
+    ``into`` names the new column; one of that name in ``docs`` is replaced. A null text stays null; an empty table gives an empty result.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    @F.pandas_udf("text string, spans long")
+    def hide(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def run(batches):
+            for text in batches:
+                found = _spans_of([t or "" for t in text], shared.value)
+                yield pd.DataFrame({"text": pd.Series([_hidden(t, s) for t, s in zip(text, found)], dtype=object), "spans": [len(s) for s in found]})
+
+        yield from text_arrays.handing_back(run)(texts)
+
+    return docs.withColumn(into, hide(F.col("text").cast("string")))

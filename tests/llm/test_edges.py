@@ -40,6 +40,8 @@ def test_secrets_and_their_repeats(spark):
     assert all(not rows[i].spans for i in (1, 2, 4, 5, 9))
     hidden = {r.doc_id: r.text for r in pii.redacted(pii.with_spans(docs, field)).collect()}
     assert SECRET not in hidden[0] and hidden[0].count("<SECRET>") == 3
+    once = {r.doc_id: r.redacted for r in pii.without_spans(docs, field).collect()}
+    assert all(once[i]["text"] == hidden[i] and once[i]["spans"] == len(rows[i].spans) for i in rows)
 
 
 def test_remembered_words_are_bounded_and_ids_stay_the_librarys():
