@@ -68,10 +68,12 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data and secrets are replaced by their kind; ``n_chars`` follows. All documents stay."""
     storage.small_batches(spark)
-    name = storage.free_name(docs, "_spans")
-    found = pii.redacted(pii.with_spans(docs, pii.fit(docs), name), name)
-    size = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return found.withColumn("n_chars", F.when(F.size(name) > 0, size).otherwise(F.col("n_chars"))).select(*docs.columns)
+    name = storage.free_name(docs, "_redacted")
+    found = pii.without_spans(docs, pii.fit(docs), name)
+    changed, text = F.col(name)["spans"] > 0, F.col(name)["text"]
+    size = F.length(text).cast(docs.schema["n_chars"].dataType)
+    found = found.withColumn("n_chars", F.when(changed, size).otherwise(F.col("n_chars")))
+    return found.withColumn("text", F.when(changed, text).otherwise(F.col("text"))).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
