@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.catalog.common import CHAIN, big, chain, featured, plain, r6, real, scored_events
-from riskloom.fixed_values import REVIEW_CAPACITIES
+from riskloom.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES, REVIEW_CAPACITIES
 from riskloom.operators import decisions, errors, evaluation, experiments, explain
 
 QUERIES, SQL = {}, {}
@@ -213,10 +213,7 @@ FROM (SELECT split, {_COUNTS.format(t=0.5)} FROM sc GROUP BY split) JOIN areas U
 
 
 # H1-H5, H7: rate differences of encoded features stand for coefficients
-ENCODED = {
-    "categorical": ["payment_channel", "time_period", "mcc", "night_ratio_group", "currency"],
-    "numeric": ["hour", "mcc_entropy_30d", "txn_count_7d", "spending_trend", "ip_score", "amount_z_30d", "distinct_countries_30d"],
-}
+ENCODED = {"categorical": CATEGORICAL_FEATURES, "numeric": NUMERIC_FEATURES}
 
 
 def _weights(s, d):
