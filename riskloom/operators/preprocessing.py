@@ -1,8 +1,9 @@
 """Fitted preprocessing as persistable Spark ML stages.
 
 The fit reads three small results from the training rows: exact medians, mean and deviation of the
-imputed numbers, and the categories frequent enough to get a column of their own. They become literals
-of one ``SQLTransformer``, so transforming is a projection and the whole pipeline can be saved.
+imputed numbers, and the categories frequent enough to get a column of their own. Numbers become literals of one
+``SQLTransformer``; categories become the dictionaries of one indexer, which finds a category's slot by hash, so the
+plan doesn't grow with their number. Transforming is a projection, and the whole pipeline can be saved.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +20,27 @@ from riskloom.functions.scalars import number
 from riskloom.operators.features import FeatureSet
 
 RARE = "infrequent_sklearn"  # Fixed value: the name of the shared column for rare categories.
-#: Categories with a column of their own, over all columns.
-MAX_CATEGORIES = 20_000
+#: Categories with a column of their own, over all columns: the coefficients of a model of so many are 16 MB.
+MAX_CATEGORIES = 2_000_000
+
+
+@dataclass
+class Term:
+    """One encoded feature: a scaled number, a category of a column (``value`` None: all others), or a flag."""
+
+    kind: str
+    column: str
+    value: str | None = None
+    median: float = 0.0
+    mean: float = 0.0
+    deviation: float = 1.0
 
 
 @dataclass
 class Preprocessing:
     stages: list
     feature_names: list[str]
+    terms: list[Term]
 
 
 def frequent_categories(train: DataFrame, columns: Sequence[str], min_frequency: int | None) -> dict[str, tuple[list[str], bool]]:
@@ -66,8 +80,12 @@ def _double(x: float) -> str:
     return f"({float(x)!r}D)"
 
 
-def _text(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _indexer(train: DataFrame, known: list[list[str]], inputs: list[str], outputs: list[str]) -> StringIndexerModel:
+    """The places of the known categories, fitted on nothing but them: row k holds the k-th of each column."""
+    longest = max(map(len, known))
+    rows = [tuple(v[k] if k < len(v) else None for v in known) for k in range(longest)]
+    listed = train.sparkSession.createDataFrame(rows, ", ".join(f"{c} string" for c in inputs))
+    return StringIndexer(inputCols=inputs, outputCols=outputs, handleInvalid="keep", stringOrderType="alphabetAsc").fit(listed)
 
 
 def fit_preprocessing(
@@ -78,35 +96,45 @@ def fit_preprocessing(
     min_frequency: int | None = 50,
     output: str = "features",
     method: str = "exact",
+    constant: bool = False,
 ) -> Preprocessing:
     """Impute (and scale) numbers, one-hot categories with rare ones sharing a column, fill flags with 0.
 
-    Without rare grouping, or when no category is rare, an unknown category gets no column at all.
+    Without rare grouping, or when no category is rare, an unknown category gets no column at all. ``constant`` adds a
+    last slot that is always 1 and has no name: a linear model that regularises its intercept learns it there.
     """
     numbers = scaling(train, features.numeric_features, scale, method)
     categories = frequent_categories(train, features.categorical_features, min_frequency if group_rare else None)
     flags = features.binary_features + features.interaction_features
 
-    fields, labels, names = [], [], []
+    fields, names, terms = [], [], []
     for i, (c, (median, mean, deviation)) in enumerate(numbers.items()):
         fields.append(f"(coalesce(nanvl(try_cast(`{c}` AS double), NULL), {_double(median)}) - {_double(mean)}) / {_double(deviation)} AS _n{i}")
         names.append(f"numeric__{c}")
+        terms.append(Term("number", c, None, median, mean, deviation))
+    # The indexer gives unknown categories the place after the known ones. Where the training rows have rare categories that
+    # place is the shared column; elsewhere the encoder drops it, which leaves all zeros.
+    known, shared, apart = [], [], []  # known ones in the indexer's order, by UTF-16 units
     for i, (c, (frequent, has_rare)) in enumerate(categories.items()):
-        # The index after the frequent ones is the shared rare column where the training rows have rare
-        # categories, and otherwise lies beyond all known ones, which the encoder turns into all zeros.
-        cases = " ".join(f"WHEN {_text(v)} THEN {_double(k)}" for k, v in enumerate(frequent)) or "WHEN NULL THEN NULL"
-        fields.append(f"CASE coalesce(cast(`{c}` AS string), 'missing') {cases} ELSE {_double(len(frequent))} END AS _c{i}")
-        labels.append(frequent + [RARE] if has_rare else (frequent or [RARE]))
-        names += [f"categorical__{c}_{v}" for v in labels[-1]]
+        fields.append(f"coalesce(cast(`{c}` AS string), 'missing') AS _t{i}")
+        known.append(sorted(frequent if has_rare else (frequent or [RARE]), key=lambda v: v.encode("utf-16-be", "surrogatepass")))
+        (shared if has_rare else apart).append(i)
+        names += [f"categorical__{c}_{v}" for v in known[-1] + [RARE] * has_rare]
+        terms += [Term("category", c, v) for v in known[-1] + [None] * has_rare]
     for i, c in enumerate(flags):
         fields.append(f"cast(coalesce(`{c}`, 0) AS double) AS _f{i}")
         names.append(f"{'binary' if i < len(features.binary_features) else 'interaction'}__{c}")
+        terms.append(Term("flag", c))
+    if constant:
+        fields.append("1.0D AS _one")
 
     stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(fields)} FROM __THIS__")]
-    n_cat = len(labels)
-    if n_cat:
-        indexed, encoded = [f"_c{i}" for i in range(n_cat)], [f"_v{i}" for i in range(n_cat)]
-        stages.append(OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"))
-    inputs = [f"_n{i}" for i in range(len(numbers))] + [f"_v{i}" for i in range(n_cat)] + [f"_f{i}" for i in range(len(flags))]
+    if known:
+        texts = [f"_t{i}" for i in range(len(known))]
+        stages.append(_indexer(train, known, texts, [f"_c{i}" for i in range(len(known))]))
+    for places, drop in ((shared, False), (apart, True)):
+        if places:
+            stages.append(OneHotEncoder(inputCols=[f"_c{i}" for i in places], outputCols=[f"_v{i}" for i in places], dropLast=drop, handleInvalid="error"))
+    inputs = [f"_n{i}" for i in range(len(numbers))] + [f"_v{i}" for i in range(len(known))] + [f"_f{i}" for i in range(len(flags))] + ["_one"] * constant
     stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
-    return Preprocessing(stages, names)
+    return Preprocessing(stages, names, terms)
