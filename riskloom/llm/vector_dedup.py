@@ -5,7 +5,8 @@ vector is kept in its home cell and looks for partners in other cells, nearest f
 cell is known for each half, and the traversal of the sorted grid ends where the bound passes the radius of the wanted
 cosine. So it visits every cell that can hold a partner (target recall 1) and no more. Found candidates are verified exactly.
 
-Codebooks come from a bounded sample; every vector is indexed. Cells with many vectors are cut into blocks, and a task
+Equal vectors of one label are a class that is compared once, with the number of its rows as its weight. Codebooks come
+from a bounded sample; every class is indexed. Cells with many vectors are cut into blocks, and a task
 compares one block with one block of visitors. It sends counts and links that span what it found, not all pairs.
 """
 
@@ -104,7 +105,7 @@ def _fit(rows: DataFrame, labels: int, total: int) -> tuple[int, tuple[np.ndarra
 
 def _compare(group: pa.Table, least: float) -> pa.Table:
     """Counts of partners and spanning links between the residents of a block and a share of the visitors of its cell."""
-    uid = group["uid"].to_numpy()
+    uid, weight = group["uid"].to_numpy(), group["weight"].to_numpy()
     x = unit(group["embedding"].to_pylist())[1]
     visitor, home = group["visitor"].to_numpy(zero_copy_only=False).astype(bool), group["home"].to_numpy()
     v, r = np.flatnonzero(visitor), np.flatnonzero(~visitor)
@@ -115,8 +116,8 @@ def _compare(group: pa.Table, least: float) -> pa.Table:
         part = v[lo : lo + 256]
         hit = x[part] @ x[r].T >= least
         hit &= uid[part][:, None] != uid[r][None, :]
-        count[part] += hit.sum(axis=1)
-        count[r] += hit[home[part] != cell].sum(axis=0)  # a pair of two cells is met once, a pair of one cell from both sides
+        count[part] += hit @ weight[r]
+        count[r] += weight[part][home[part] != cell] @ hit[home[part] != cell]  # a pair of two cells is met once, a pair of one cell from both sides
         for k in np.flatnonzero(hit.any(axis=1)):
             mine = r[hit[k]]
             other = mine[mark[mine] != mark[part[k]]]
@@ -141,9 +142,14 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding"), F.col("label").cast("string").alias("label"))
-    rows = storage.stored(rows.withColumn("uid", F.monotonically_increasing_id()), "vectors")
     bad = F.exists("embedding", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    good = rows.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0) & ~bad & F.exists("embedding", lambda c: c != 0))
+    fit = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & (F.size("embedding") > 0) & ~bad & F.exists("embedding", lambda c: c != 0)
+    key = F.when(fit, F.md5(F.col("embedding").cast("string")))
+    rows = storage.stored(rows.withColumn("uid", F.monotonically_increasing_id()).withColumn("key", key), "vectors")
+    # Copies meet on the map side first, so a class of any size is one row a task.
+    alike = rows.where("key IS NOT NULL").groupBy("label", "key")
+    good = alike.agg(F.min("uid").alias("uid"), F.min("vec_id").alias("first_id"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
+    good = storage.stored(good, "classes")
     counted = good.agg(F.count("*").alias("n"), F.approx_count_distinct("label").alias("labels")).first()
     books = spark.sparkContext.broadcast(_fit(good, counted.labels, counted.n) if counted.n else None)
     radius = float(np.sqrt(max(0.0, 2 - 2 * cosine)))
@@ -158,28 +164,29 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
                 for i, c in zip(fits, found):
                     cells[i] = c[c >= homes[i]]  # of two cells the one with the lesser number visits the other
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("uid", "label", "embedding")), pa.array(homes), pa.array([c.tolist() for c in cells], pa.list_(pa.int64()))],
-                names=["uid", "label", "embedding", "home", "cells"],
+                [*(batch.column(c) for c in ("uid", "label", "weight", "embedding")), pa.array(homes), pa.array([c.tolist() for c in cells], pa.list_(pa.int64()))],
+                names=["uid", "label", "weight", "embedding", "home", "cells"],
             )
 
     kind = rows.schema["embedding"].dataType.simpleString()
-    placed = good.select("uid", "label", "embedding").mapInArrow(index, f"uid long, label string, embedding {kind}, home long, cells array<long>")
+    placed = good.select("uid", "label", "weight", "embedding").mapInArrow(index, f"uid long, label string, weight long, embedding {kind}, home long, cells array<long>")
     placed = storage.stored(placed.withColumn("size", F.size("embedding")), "placed")
     cell = ["label", "size", "cell"]
-    residents = placed.select("uid", "label", "size", "embedding", "home", F.col("home").alias("cell"))
-    visitors = placed.select("uid", "label", "size", "embedding", "home", F.explode("cells").alias("cell"))
+    residents = placed.select("uid", "label", "weight", "size", "embedding", "home", F.col("home").alias("cell"))
+    visitors = placed.select("uid", "label", "weight", "size", "embedding", "home", F.explode("cells").alias("cell"))
     blocks = residents.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
     shares = visitors.groupBy(*cell).agg(F.ceil(F.count("*") / VISITORS).cast("long").alias("shares"))
     grid = blocks.join(shares, cell)
     residents = residents.join(grid, cell).withColumn("block", F.pmod(F.xxhash64("uid"), "blocks")).withColumn("share", F.explode(F.expr("sequence(0L, shares - 1)")))
     visitors = visitors.join(grid, cell).withColumn("share", F.pmod(F.xxhash64("uid", F.lit(1)), "shares")).withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
     both = residents.withColumn("visitor", F.lit(False)).unionByName(visitors.withColumn("visitor", F.lit(True)))
-    both = both.select(*cell, "block", "share", "uid", "embedding", "home", "visitor")
+    both = both.select(*cell, "block", "share", "uid", "weight", "embedding", "home", "visitor")
     found = both.groupBy(*cell, "block", "share").applyInArrow(lambda g: _compare(g, cosine), "uid long, n long, a long, b long")
     found = storage.stored(found, "found")
-    counts = found.where("uid IS NOT NULL").groupBy("uid").agg(F.sum("n").alias("n_links"))
+    counts = found.where("uid IS NOT NULL").groupBy("uid").agg(F.sum("n").alias("n"))
     roots = components(found.where("a IS NOT NULL").select("a", "b")).withColumnRenamed("node", "uid")
-    linked = rows.select("uid", "vec_id").join(counts, "uid", "left").join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
-    least = linked.where("n_links > 0").groupBy("root").agg(F.min("vec_id").alias("component_id"))
-    out = linked.join(least, "root", "left").withColumn("component_id", F.coalesce("component_id", "vec_id"))
+    classes = good.drop("embedding").join(counts, "uid", "left").join(roots, "uid", "left").withColumn("root", F.coalesce("root", "uid"))
+    least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    classes = classes.join(least, "root").select("label", "key", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    out = rows.select("vec_id", "label", "key").join(classes, ["label", "key"], "left").withColumn("component_id", F.coalesce("component_id", "vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -316,6 +316,23 @@ def test_vectors_equal_all_pairs(spark, monkeypatch):
     assert vector_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>, label int")).count() == 0
 
 
+def test_copies_of_a_vector_are_compared_once(spark, monkeypatch):
+    stored, sizes = storage.stored, {}
+
+    def counted(df, name):
+        out = stored(df, name)
+        sizes.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(vector_dedup.storage, "stored", counted)
+    near, far = [1.0, 0.1, 0.0, 0.0], [0.0, 0.0, 1.0, 0.0]
+    rows = spark.range(20_000).selectExpr("id + 1 AS vec_id", "array(1D, 0D, 0D, 0D) AS embedding", "'a' AS label")
+    rows = rows.union(spark.createDataFrame([(0, near, "a"), (30_000, far, "a"), (30_001, far, "a"), (30_002, near, "b")], rows.schema))
+    got = vector_dedup.near_vectors(rows).groupBy("n_links", "component_id", "kept").count().collect()
+    assert {tuple(r) for r in got} == {(20_000, 0, False, 20_000), (20_000, 0, True, 1), (1, 30_000, True, 1), (1, 30_000, False, 1), (0, 30_002, True, 1)}
+    assert sizes["classes"] == sizes["placed"] == 4
+
+
 # ---------------------------------------------------------------- pipeline
 
 
