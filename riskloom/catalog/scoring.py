@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.catalog.common import CHAIN, big, chain, featured, plain, r6, real, scored_events
-from riskloom.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES, REVIEW_CAPACITIES
+from riskloom.catalog.common import CHAIN, big, chain, featured, plain, r6, real, scored_events, scratch
+from riskloom.fixed_values import CATEGORICAL_FEATURES, ERROR_CATEGORICAL, ERROR_NUMERIC, NUMERIC_FEATURES, REVIEW_CAPACITIES
 from riskloom.operators import decisions, errors, evaluation, experiments, explain
 
 QUERIES, SQL = {}, {}
@@ -137,26 +137,31 @@ QUERIES["error_false_negatives"] = lambda s, d: plain(errors.error_rows(_errors(
 SQL["error_false_negatives"] = chain(f"SELECT event_id, split, CAST(1 AS BIGINT) AS y_true, CAST(0 AS BIGINT) AS y_pred, coalesce(night_ratio_group, 'missing') AS night_ratio_group FROM err WHERE error_type = 'FN'")
 
 # R3
-_ERROR_NUMBERS = ["mcc_entropy_30d", "night_ratio_30d", "log_amount_to_max_30d", "spending_trend", "distinct_countries_30d", "amount_z_30d", "decline_rate_30d", "device_diversity_30d", "credit_util_today", "ip_score", "txn_count_ratio_7d_30d"]
-QUERIES["error_numeric_summary"] = lambda s, d: plain(errors.numeric_by_error_type(_errors(s, d)))
+def _error_numbers(s, d):
+    """The joined table is read by three passes: its narrow columns are written once."""
+    path = scratch(s)
+    _errors(s, d).select("error_type", *ERROR_NUMERIC).write.parquet(path)
+    return errors.numeric_by_error_type(s.read.parquet(path))
+
+
+QUERIES["error_numeric_summary"] = lambda s, d: plain(_error_numbers(s, d))
 SQL["error_numeric_summary"] = chain(
     "SELECT error_type, count(*) AS rows, "
     + ", ".join(
         f"{r6(f'avg({c})', f'{c}_mean')}, {r6(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', f'{c}_median')}, {r6(f'quantile_cont(CAST({c} AS DOUBLE), 0.9)', f'{c}_p90')}"
-        for c in _ERROR_NUMBERS
+        for c in ERROR_NUMERIC
     )
     + " FROM err GROUP BY error_type"
 )
 
 # R4
-_ERROR_TEXTS = ["payment_channel", "merchant_country", "card_entry_mode", "auth_result", "term_location", "time_period", "day_name", "amount_to_max_group", "night_ratio_group", "credit_util_risk_group"]
 QUERIES["error_categorical_summary"] = lambda s, d: plain(errors.categories_by_error_type(_errors(s, d)))
 SQL["error_categorical_summary"] = chain(
     "\nUNION ALL ".join(
         f"""SELECT error_type, '{c}' AS feature, v AS value, {r6('n / total', 'ratio')}, n AS count FROM (
   SELECT error_type, v, n, sum(n) OVER (PARTITION BY error_type) AS total, row_number() OVER (PARTITION BY error_type ORDER BY n DESC, v) AS rn
   FROM (SELECT error_type, coalesce(CAST({c} AS VARCHAR), 'missing') AS v, count(*) AS n FROM err GROUP BY 1, 2)) WHERE rn <= 10"""
-        for c in _ERROR_TEXTS
+        for c in ERROR_CATEGORICAL
     )
 )
 

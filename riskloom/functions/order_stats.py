@@ -195,3 +195,58 @@ def quantiles(
             line.append(float(lo) if lo == hi else float(lo) + (float(hi) - float(lo)) * (at - math.floor(at)))
         result[name] = line
     return result
+
+
+def grouped_quantiles(df: DataFrame, group: str, columns: Mapping[str, Column], probs: Sequence[float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Exact interpolated quantiles of each column within each group: rows (group, ``feature``, ``quantiles``).
+
+    Groups are found in the data. One sketch by (group, feature) proposes a closed bracket around every wanted rank; one counting
+    pass then keeps a count of what lies below and the distinct values inside. The plan has the same size for any number of
+    groups, and a hot group is counted map-side before the shuffle. Null values are left out; a null group is a group; a group
+    without a value of a feature has no row for it.
+    """
+    # The sketch is off by n / accuracy ranks at most, interpolation and rounding by two more: four cover them from n = accuracy on.
+    step = 4.0 / accuracy
+    pairs = F.array(*[F.struct(F.lit(name).alias("feature"), c.cast("double").alias("v")) for name, c in columns.items()])
+    values = df.select(F.col(group).alias("g"), F.inline(pairs)).where(F.col("v").isNotNull())
+    grid = [min(1.0, max(0.0, q + d)) for q in probs for d in (-step, step)]
+    sketch = values.groupBy("g", "feature").agg(F.count("*").alias("n"), F.percentile_approx("v", grid, accuracy).alias("p"))
+    small = F.col("n") <= accuracy
+
+    def end(i: int, unbounded: float) -> Column:
+        return F.when(small, F.lit(unbounded)).otherwise(F.get("p", F.lit(i)))
+
+    brackets = sketch.select(
+        F.col("g").alias("bg"),
+        F.col("feature").alias("bf"),
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("q"),
+                        (F.lit(prob) * (F.col("n") - 1)).alias("at"),
+                        end(2 * i, -math.inf).alias("lo"),
+                        end(2 * i + 1, math.inf).alias("hi"),
+                    )
+                    for i, prob in enumerate(probs)
+                ]
+            )
+        ),
+    )
+    bracketed = brackets.groupBy("bg", "bf").agg(F.collect_list(F.struct("q", "at", "lo", "hi")).alias("b"))
+    held = values.join(bracketed, F.col("g").eqNullSafe(F.col("bg")) & (F.col("feature") == F.col("bf")))
+    held = held.select("g", "feature", "v", F.inline("b")).where(F.col("v") <= F.col("hi"))
+    # Whatever lies below a bracket becomes one row, the one without a value.
+    inside = F.when(F.col("v") >= F.col("lo"), F.col("v"))
+    counted = held.groupBy("g", "feature", "q", "at", inside.alias("v")).agg(F.count("*").alias("n"))
+    order = Window.partitionBy("g", "feature", "q", "at").orderBy(F.col("v").asc_nulls_first())
+    counted = counted.withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank), F.col("v")))
+
+    ends = counted.groupBy("g", "feature", "q", "at").agg(at_rank(F.floor("at")).alias("lo"), at_rank(F.ceil("at")).alias("hi"))
+    part = F.col("at") - F.floor("at")
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * part)
+    lined = ends.groupBy("g", "feature").agg(F.array_sort(F.collect_list(F.struct("q", value.alias("x")))).alias("l"))
+    return lined.select(F.col("g").alias(group), "feature", F.col("l.x").alias("quantiles"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.fixed_values import ERROR_CATEGORICAL, ERROR_NUMERIC
-from riskloom.functions.order_stats import quantiles
+from riskloom.functions.order_stats import SKETCH_ACCURACY, grouped_quantiles
 from riskloom.functions.scalars import null_if_nan, number, one_row, share
 
 ERROR_TYPES = ["FN", "FP", "TN", "TP"]
@@ -38,21 +38,27 @@ def error_counts(df: DataFrame) -> DataFrame:
     return grouped.withColumn("total", total).select("error_type", "count", share(F.col("count"), F.col("total.n")).alias("ratio"))
 
 
-def numeric_by_error_type(df: DataFrame, columns: Sequence[str] = ERROR_NUMERIC, groups: Sequence[str] = ERROR_TYPES, group: str = "error_type", method: str = "exact") -> DataFrame:
-    """Rows, mean, median and 90 % quantile of each column per error type.
+def numeric_by_error_type(df: DataFrame, columns: Sequence[str] = ERROR_NUMERIC, groups: Sequence[str] | None = ERROR_TYPES, group: str = "error_type", method: str = "exact") -> DataFrame:
+    """Rows, mean, median and 90 % quantile of each column per error type; ``groups=None`` takes every value of ``group``.
 
-    Each (type, column) is one input of the order statistics, so no type is gathered in a task.
+    (type, column) are keys of the quantiles, so the plan doesn't grow with the types and no type is gathered in a task.
     """
+    if method not in ("exact", "approx"):
+        raise ValueError("method is 'exact' or 'approx'")
     names = [c for c in columns if c in df.columns]
-    split = {f"{g}/{c}": F.when(F.col(group) == g, number(df, c)) for g in groups for c in names}
-    q = quantiles(df, split, [0.5, 0.9], method)
-    means = df.groupBy(group).agg(F.count("*").alias("rows"), *[F.avg(number(df, c)).alias(f"{c}_mean") for c in names])
-
-    def literal(c: str, i: int):
-        return F.element_at(F.create_map(*[e for g in groups for e in (F.lit(g), F.lit(q[f"{g}/{c}"][i]).cast("double"))]), F.col(group))
-
-    columns_out = [x for c in names for x in (F.col(f"{c}_mean"), literal(c, 0).alias(f"{c}_median"), literal(c, 1).alias(f"{c}_p90"))]
-    return means.where(F.col(group).isin(list(groups))).select(group, "rows", *columns_out)
+    rows = df if groups is None else df.where(F.col(group).isin(list(groups)))
+    rows = rows.select(group, *[number(df, c).alias(c) for c in names])
+    means = rows.groupBy(group).agg(F.count("*").alias("rows"), *[F.avg(c).alias(f"{c}_mean") for c in names])
+    if not names:
+        return means
+    if method == "approx":
+        wide = rows.groupBy(group).agg(*[F.percentile_approx(F.col(c).cast("double"), [0.5, 0.9], SKETCH_ACCURACY).alias(f"_{c}") for c in names])
+    else:
+        found = grouped_quantiles(rows, group, {c: F.col(c) for c in names}, [0.5, 0.9])
+        wide = found.groupBy(group).agg(*[F.max(F.when(F.col("feature") == c, F.col("quantiles"))).alias(f"_{c}") for c in names])
+    out = means.join(wide.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group")), "left")
+    measures = [x for c in names for x in (F.col(f"{c}_mean"), F.get(f"_{c}", F.lit(0)).alias(f"{c}_median"), F.get(f"_{c}", F.lit(1)).alias(f"{c}_p90"))]
+    return out.select(group, "rows", *measures)
 
 
 def categories_by_error_type(df: DataFrame, columns: Sequence[str] = ERROR_CATEGORICAL, top: int = 10) -> DataFrame:

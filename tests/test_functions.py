@@ -92,3 +92,22 @@ def test_flag_ratio_and_log_handle_nulls(spark):
 def test_clock_micros_orders_zone_less_times(spark):
     df = spark.sql("SELECT timestamp_ntz'1970-01-02 00:00:01.000002' AS t")
     assert df.select(scalars.clock_micros(F.col("t"))).first()[0] == 86_401_000_002
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 40])
+def test_grouped_quantiles_equal_pandas(spark, accuracy):
+    """A hot group of a third of all rows, a null group, a group of one row, a column without a value in one group."""
+    rng = np.random.default_rng(3)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 7}", None if i % 11 == 0 else float(round(rng.normal(), 2)), float(i % 5)) for i in range(4000)]
+    rows += [(None, 1.0, 2.0), (None, 4.0, 2.0), ("lone", 7.5, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {(r.g, r.feature): r.quantiles for r in order_stats.grouped_quantiles(df, "g", {"x": F.col("x"), "y": F.col("y")}, probs, accuracy).collect()}
+    frame = pd.DataFrame(rows, columns=["g", "x", "y"])
+    wanted = {}
+    for g, part in frame.groupby("g", dropna=False):
+        for c in "xy":
+            if part[c].notna().any():
+                wanted[None if pd.isna(g) else g, c] = pytest.approx([part[c].dropna().quantile(q) for q in probs], abs=1e-12)
+    assert got == wanted and ("lone", "y") not in got
+    assert order_stats.grouped_quantiles(df.limit(0), "g", {"x": F.col("x")}, probs).count() == 0
