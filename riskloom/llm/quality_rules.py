@@ -1,26 +1,27 @@
 """Quality rules: exact counts on whole texts, and divergence from what texts of a language look like.
 
 A document's histogram of character classes and its histogram of common words are held against references by
-Jensen-Shannon distance. References are the mean histograms of a language over all documents that pass the counts and
-are long enough; they are sums over the table, one row a language and partition. Short documents are not judged.
+Jensen-Shannon distance. Common words are learned by language: those that the most of its documents hold. References are the
+mean histograms of a language over all documents that pass the counts and are long enough; both are sums over the table, one
+row a language and partition. Short documents are not judged.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import text_arrays
+from riskloom.llm.storage import stored
 
-#: Words whose shares are compared. They are common in one of the languages, and words of none matter little.
-COMMON_WORDS = (
-    "the of and to in a is that for it was with on as be at by this have from or an are not but you he they which we "
-    "der die und den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach "
-    "de la que el y los del se las por un para con no una su al lo como más pero sus le ya o "
-    "les des et le du en une est pour qui dans ce il au pas sur plus ne par je avec tout faire son mais nous"
-).split()
+#: Words of each language whose shares are compared: those in the most of its documents. Languages with references of their own, at most.
+COMMON_WORDS, LANGUAGES = 50, 32
+#: Words a task counts before it hands its counts on.
+HELD_WORDS = 200_000
+#: Rows taken at once, and the bits that a row's place takes from a word's hash.
+SLICE, SHORT = 2000, 11
 #: Character classes of a byte: space, lower case, upper case, digit, full stop and comma, other ASCII, beginning of another character.
 CLASSES = 7
 _CLASS = np.full(256, CLASSES, np.uint8)
@@ -35,29 +36,28 @@ _CONTINUED = np.zeros(256, bool)
 _CONTINUED[0x80:0xC0] = True
 #: Least words and least letters of a text that is compared; both distances are 0 below.
 MIN_WORDS, MIN_LETTERS = 50, 200
-#: Largest Jensen-Shannon distances (base 2, 0 to 1) of a kept document.
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.45
+#: Largest Jensen-Shannon distances (base 2, 0 to 1) of a kept document. Of 16,906 synthetic documents labelled good, 99.9 percent lie
+#: within 0.19 and 0.46; junk of other alphabets and of symbols lies at 0.38 and more in the first.
+MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.50
 #: Documents a language needs before it has a reference of its own.
 MIN_DOCUMENTS = 20
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _common() -> tuple[np.ndarray, np.ndarray]:
-    words = list(dict.fromkeys(COMMON_WORDS))
-    data = np.frombuffer(" ".join(words).encode(), np.uint8)
-    starts, ends = text_arrays.word_spans(data)
-    hashes = text_arrays.span_hashes(data, starts, ends, lower=True)
-    return np.sort(hashes), np.argsort(hashes)
+def _plain_words(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes (53 bits) of words in any case and without a sign behind them."""
+    tail = np.isin(buffer[ends - 1], np.frombuffer(b".,;:!?", np.uint8)) & (ends - starts > 1)
+    return text_arrays.span_hashes(buffer, starts, ends - tail, lower=True) >> np.uint64(SHORT)
 
 
-COMMON = _common()
+def measures(column, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (rows x 5) and histograms (rows x classes, ``common`` words and one cell for others) of a text column; null is an empty text.
 
-
-def measures(column) -> tuple[np.ndarray, np.ndarray]:
-    """Counts (rows x 5) and histograms (rows x classes and common words) of a text column; null is an empty text."""
+    ``common`` holds the hashes of words, ascending.
+    """
     data, offsets = text_arrays.utf8(column)
     rows = len(offsets) - 1
-    counts, shapes = np.zeros((rows, len(COUNTS)), np.int64), np.zeros((rows, CLASSES + len(COMMON[0]) + 1))
+    counts, shapes = np.zeros((rows, len(COUNTS)), np.int64), np.zeros((rows, CLASSES + len(common) + 1))
     for lo, hi, part, at in text_arrays.chunks(data, offsets):
         buffer, begin = text_arrays.apart(part, at)
         starts, ends = text_arrays.word_spans(buffer)
@@ -98,12 +98,10 @@ def measures(column) -> tuple[np.ndarray, np.ndarray]:
         repeated = np.ones(len(key), bool)
         repeated[seen] = False
         counts[lo:hi, 3] = np.bincount(line_row[repeated], minlength=n)
-        # Common words, in any case and without a sign behind them.
-        tail = np.isin(buffer[ends - 1], np.frombuffer(b".,;:!?", np.uint8)) & (ends - starts > 1)
-        plain = text_arrays.span_hashes(buffer, starts, ends - tail, lower=True)
-        place = np.minimum(np.searchsorted(COMMON[0], plain), len(COMMON[0]) - 1)
-        slot = np.where(COMMON[0][place] == plain, COMMON[1][place], len(COMMON[0]))
-        width = len(COMMON[0]) + 1
+        plain = _plain_words(buffer, starts, ends)
+        place = np.searchsorted(common, plain)
+        slot = np.where(np.append(common, np.uint64(0))[place] == plain, place, len(common))
+        width = len(common) + 1
         shapes[lo:hi, CLASSES:] = np.bincount(row * width + slot, minlength=n * width).reshape(n, width)
     return counts, shapes
 
@@ -129,14 +127,86 @@ def _judged(counts: np.ndarray, shapes: np.ndarray) -> np.ndarray:
     return (counts[:, 0] >= MIN_WORDS) & (shapes[:, 1] + shapes[:, 2] + shapes[:, 6] >= MIN_LETTERS)
 
 
-def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, np.ndarray]]:
-    """Mean histograms by language, and of all languages under None: sums that tasks make of all their rows."""
-    width = CLASSES + len(COMMON[0]) + 1
+def _sliced(batches):
+    """Batches of a bounded number of rows: a histogram is as wide as the common words of all languages."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
+def _document_words(column) -> tuple[np.ndarray, np.ndarray]:
+    """(row, short hash) of each distinct plain word of each text of a slice, in order of rows."""
+    data, offsets = text_arrays.utf8(column)
+    rows, words = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for lo, _, part, at in text_arrays.chunks(data, offsets):
+        buffer, begin = text_arrays.apart(part, at)
+        starts, ends = text_arrays.word_spans(buffer)
+        row = np.repeat(np.arange(len(begin) - 1, dtype=np.uint64), np.diff(np.searchsorted(starts, begin)))
+        key = np.unique(row << np.uint64(64 - SHORT) | _plain_words(buffer, starts, ends)) if len(starts) else words[0]
+        rows.append((key >> np.uint64(64 - SHORT)).astype(np.int64) + lo)
+        words.append(key & np.uint64((1 << 64 - SHORT) - 1))
+    return np.concatenate(rows), np.concatenate(words)
+
+
+def common_words(docs: DataFrame, top: int = COMMON_WORDS) -> np.ndarray:
+    """Hashes of the words that the most documents of each language hold, learned from all documents that pass the counts.
+
+    Tasks count documents by (lang, word) and hand counts on before they hold too many; ties go to the smaller hash. A null language
+    is a language here. Languages of ``MIN_DOCUMENTS`` documents have words, the ``LANGUAGES`` with the most documents at most.
+    """
+    none = np.zeros(0, np.uint64)
+
+    def run(batches):
+        held: dict = {}
+
+        def rows():
+            for lang, (words, counts) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(words), pa.string()), pa.array(words.view(np.int64)), pa.array(counts)], names=["lang", "word", "n"])
+            held.clear()
+
+        for batch in _sliced(batches):
+            counts, shapes = measures(batch.column("text"), none)
+            use = _judged(counts, shapes) & ~base_failed(counts)
+            row, word = _document_words(batch.column("text"))
+            lang = np.array(batch.column("lang").to_pylist(), object)
+            for name in {*lang[use]}:
+                mine = use & (lang == name)
+                # Word 0 carries the number of documents; a hash that is 0 would join it.
+                new = np.concatenate((word[mine[row]], np.zeros(mine.sum(), np.uint64)))
+                words, at = np.unique(new, return_inverse=True)
+                n = np.bincount(at, minlength=len(words))
+                if name in held:
+                    old, m = held[name]
+                    words, at = np.unique(np.concatenate((old, words)), return_inverse=True)
+                    n = np.bincount(at, np.concatenate((m, n)), len(words)).astype(np.int64)
+                held[name] = words, n
+            if sum(len(w) for w, _ in held.values()) > HELD_WORDS:
+                yield from rows()
+        yield from rows()
+
+    found = docs.select("lang", "text").mapInArrow(text_arrays.handing_back(run), "lang string, word long, n long")
+    counted = found.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy((F.col("word") != 0).cast("int"), F.desc("n"), "word"))
+    ranked = counted.withColumn("place", first).where(F.col("place") <= top + 1)
+    # The row of the number of documents comes first in each language; languages are ranked by it.
+    size = F.max(F.when(F.col("word") == 0, F.col("n"))).over(Window.partitionBy("lang"))
+    sized = ranked.withColumn("size", size)
+    langs = sized.where(f"word = 0 AND n >= {MIN_DOCUMENTS}").orderBy(F.desc("n"), "lang").limit(LANGUAGES).select(F.col("lang").alias("l"))
+    words = sized.where("word <> 0").join(langs, F.col("lang").eqNullSafe(F.col("l")), "left_semi").select("word").distinct()
+    return np.sort(np.array([r.word for r in words.collect()], np.int64).view(np.uint64))  # LANGUAGES x top at most
+
+
+def references(docs: DataFrame, common: np.ndarray) -> dict[str | None, tuple[np.ndarray, np.ndarray]]:
+    """Mean histograms by language, and of all languages under None: sums that tasks make of all their rows.
+
+    The ``LANGUAGES`` languages of the most documents are kept apart.
+    """
+    width = CLASSES + len(common) + 1
 
     def run(batches):
         sums: dict = {}
-        for batch in batches:
-            counts, shapes = measures(batch.column("text"))
+        for batch in _sliced(batches):
+            counts, shapes = measures(batch.column("text"), common)
             use = _judged(counts, shapes) & ~base_failed(counts)
             shares = np.hstack(_shares(shapes))
             lang = np.array(batch.column("lang").to_pylist(), object)
@@ -145,16 +215,24 @@ def references(docs: DataFrame) -> dict[str | None, tuple[np.ndarray, np.ndarray
                 total = sums.setdefault(name, np.zeros(width + 1))
                 total[:-1] += shares[mine].sum(axis=0)
                 total[-1] += mine.sum()
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], names=["lang", "total"])
+            if len(sums) > 4 * LANGUAGES:
+                yield _sums(sums)
+                sums = {}
+        yield _sums(sums)
 
-    rows = docs.select("lang", "text").mapInArrow(run, "lang string, total array<double>")
-    rows = rows.select("lang", F.posexplode("total")).groupBy("lang", "pos").agg(F.sum("col").alias("v"))
+    rows = docs.select("lang", "text").mapInArrow(text_arrays.handing_back(run), "lang string, total array<double>")
+    rows = stored(rows.select("lang", F.posexplode("total")).groupBy("lang", "pos").agg(F.sum("col").alias("v")), "references")
+    sizes = rows.where((F.col("pos") == width) & (F.col("v") >= MIN_DOCUMENTS) & F.col("lang").isNotNull())
+    own = sizes.orderBy(F.desc("v"), "lang").limit(LANGUAGES).select("lang")
+    every = rows.groupBy("pos").agg(F.sum("v").alias("v")).select(F.lit(None).cast("string").alias("lang"), "pos", "v")
     out: dict = {}
-    for r in rows.collect():  # languages x histogram cells
+    for r in rows.join(own, "lang", "left_semi").unionByName(every).collect():  # LANGUAGES + 1 histograms at most
         out.setdefault(r.lang, np.zeros(width + 1))[r.pos] = r.v
-    every = sum(out.values(), np.zeros(width + 1))
-    out = {k: v for k, v in out.items() if k is not None and v[-1] >= MIN_DOCUMENTS} | ({None: every} if every[-1] else {})
-    return {k: tuple(x[0] for x in _shares(v[None, :-1])) for k, v in out.items()}
+    return {k: tuple(x[0] for x in _shares(v[None, :-1])) for k, v in out.items() if v[-1]}
+
+
+def _sums(sums: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([x.tolist() for x in sums.values()], pa.list_(pa.float64()))], names=["lang", "total"])
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -164,12 +242,13 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     ``MIN_DOCUMENTS`` documents counts as unknown. Repeated rows are judged each; an empty table gives an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    shared = docs.sparkSession.sparkContext.broadcast(references(docs))
+    common = common_words(docs)
+    shared = docs.sparkSession.sparkContext.broadcast((common, references(docs, common)))
 
     def run(batches):
-        known = shared.value
-        for batch in batches:
-            counts, shapes = measures(batch.column("text"))
+        common, known = shared.value
+        for batch in _sliced(batches):
+            counts, shapes = measures(batch.column("text"), common)
             classes, words = _shares(shapes)
             far = np.full((2, batch.num_rows), np.inf)
             lang = np.array(batch.column("lang").to_pylist(), object)
@@ -189,4 +268,4 @@ def quality_rules(docs: DataFrame) -> DataFrame:
             )
 
     kinds = ", ".join(f"{c} long" for c in COUNTS)
-    return docs.mapInArrow(run, f"doc_id long, {kinds}, base_failed boolean, class_distance double, word_distance double, kept boolean")
+    return docs.mapInArrow(text_arrays.handing_back(run), f"doc_id long, {kinds}, base_failed boolean, class_distance double, word_distance double, kept boolean")
