@@ -35,6 +35,8 @@ BITS = 15
 PENALTY, BIAS, ROUNDS, TOLERANCE = 300.0, 0.1, 60, 0.01
 #: Documents of a language that the machines are fitted on, about: a bound on the sample.
 TRAINING_ROWS = 800
+#: Languages that are learned, at most.
+LANGUAGES = 1000
 FEATURES = Hashed(BITS, (2, 3), words=True, folded=True)
 _LETTER = regex.compile(r"\p{L}")
 
@@ -120,11 +122,13 @@ def fit(docs: DataFrame, training: F.Column, bound: int = TRAINING_ROWS) -> Mode
     """Learn from text and lang of the rows where ``training`` holds; None if no such row has a language.
 
     At most ``2 * bound`` rows of a language reach the driver, whatever ids repeat or are missing: rows are drawn by the hash of id and
-    text, and what the draw leaves over that is cut in the same order, in each task before the shuffle.
+    text, and what the draw leaves over that is cut in the same order, in each task before the shuffle. The ``LANGUAGES`` languages of
+    the most rows are learned; their sizes, one row each, are what is broadcast.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(training)
-    every = rows.groupBy("lang").agg(F.greatest(F.lit(1), F.floor(F.count("*") / bound)).alias("every"))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    every = F.broadcast(sizes.select("lang", F.greatest(F.lit(1), F.floor(F.col("n") / bound)).alias("every")))
     drawn = rows.withColumn("h", F.xxhash64("doc_id", "text")).join(every, "lang").where(F.pmod(F.col("h"), F.col("every")) == 0)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     picked = drawn.withColumn("place", place).where(F.col("place") <= 2 * bound).drop("place", "every", "h")
