@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -246,23 +248,71 @@ def rate_by_category(df: DataFrame, feature: str, target: str = TARGET, min_coun
     )
 
 
+def _moments(x: np.ndarray, y: np.ndarray) -> tuple:
+    """Rows, means, sums of squares and of products about the means. A constant column has a sum of squares of exactly 0."""
+    x0, y0 = x[0], y[0]
+    x, y = x - x0, y - y0
+    mx, my = x.mean(), y.mean()
+    x, y = x - mx, y - my
+    return len(x), x0 + mx, y0 + my, x @ x, y @ y, x @ y
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The moments of two sets of rows together, by pair. Equal means stay as they are, to the last bit."""
+    n, more, fewer = a[0] + b[0], np.where(a[0] >= b[0], a, b), np.where(a[0] >= b[0], b, a)
+    part = fewer[0] / np.maximum(n, 1)
+    dx, dy = (np.where(fewer[0] > 0, fewer[i] - more[i], 0.0) for i in (1, 2))
+    weight = more[0] * part
+    return np.array([n, more[1] + dx * part, more[2] + dy * part, a[3] + b[3] + dx * dx * weight, a[4] + b[4] + dy * dy * weight, a[5] + b[5] + dx * dy * weight])
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Absolute Pearson correlation of every pair of numeric columns, rows with a null in the pair left out."""
-    names = [n for n in (columns or df.columns) if is_numeric(df, n)]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    def size(a: str, b: str) -> Column:
-        # Unlike corr, regr_r2 does not divide by the variance of a constant; it is NULL for a constant second argument.
-        x, y = number(df, a), number(df, b)
-        return F.sqrt(F.when(F.regr_r2(y, x).isNotNull(), F.regr_r2(x, y)))
+    """Absolute Pearson correlation of every pair of numeric columns, rows with a null in the pair left out.
 
-    agg = df.agg(*[size(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(
-        *[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"r{i}").alias("abs_correlation"))
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return agg.select(F.inline(rows)).where(F.col("abs_correlation").isNotNull())
+    Each batch of rows gives one set of moments a pair (all pairs by one matrix product where no value is missing); a task
+    keeps the sets of its batches, and the sets of all tasks meet by pair. A constant column has no correlation.
+    """
+    names = [n for n in (columns or df.columns) if is_numeric(df, n)]
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    kind = "pair int, n double, mx double, my double, xx double, yy double, xy double"
+
+    def run(batches):
+        held = np.zeros((6, len(pairs)))
+        with np.errstate(invalid="ignore", over="ignore"):
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+                if np.isnan(x).any():
+                    new, known = np.zeros((6, len(pairs))), ~np.isnan(x)
+                    for k, (i, j) in enumerate(pairs):
+                        both = known[:, i] & known[:, j]
+                        if both.any():
+                            new[:, k] = _moments(x[both, i], x[both, j])
+                else:
+                    first = x[0].copy()
+                    x -= first
+                    mean = x.mean(axis=0)
+                    x -= mean
+                    products, at = x.T @ x, first + mean
+                    i, j = np.array(pairs).T
+                    new = np.array([np.full(len(pairs), float(len(x))), at[i], at[j], products[i, i], products[j, j], products[i, j]])
+                held = _merged(held, new)
+        some = np.flatnonzero(held[0])
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(row[some]) for row in held)], names=["pair", "n", "mx", "my", "xx", "yy", "xy"])
+
+    sets = df.select(*[number(df, n).alias(f"x{i}") for i, n in enumerate(names)]).mapInArrow(run, kind)
+    # Means are taken from the least one on, so that equal means stay equal to the last bit.
+    whole = Window.partitionBy("pair")
+    for m in ("mx", "my"):
+        sets = sets.withColumn(m, F.col(m) - F.min(m).over(whole))
+        sets = sets.withColumn(f"d{m}", F.col(m) - F.sum(F.col("n") * F.col(m)).over(whole) / F.sum("n").over(whole))
+    n, dx, dy = F.col("n"), F.col("dmx"), F.col("dmy")
+    total = sets.groupBy("pair").agg(F.sum(F.col("xx") + n * dx * dx).alias("xx"), F.sum(F.col("yy") + n * dy * dy).alias("yy"), F.sum(F.col("xy") + n * dx * dy).alias("xy"))
+    found = total.where((F.col("xx") != 0) & (F.col("yy") != 0))
+    named = F.array(*[F.struct(F.lit(names[i]).alias("a"), F.lit(names[j]).alias("b")) for i, j in pairs])
+    at = F.get(named, F.col("pair"))
+    return found.select(at["a"].alias("feature_a"), at["b"].alias("feature_b"), (F.abs("xy") / F.sqrt("xx") / F.sqrt("yy")).alias("abs_correlation"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
