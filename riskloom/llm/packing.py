@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,30 +139,39 @@ def pieces(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 4096, ke
 def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, dict[int, int]]]:
     """(times, {length: number}) patterns that use up ``counts``; each window is filled as close to ``capacity`` as the rest allows."""
     left, patterns, full = {k: v for k, v in counts.items() if v}, [], (1 << capacity + 1) - 1
+    # Longest last: the path back meets them first and takes them, and short ones are left to fill gaps.
+    lengths, sure = sorted(left), 0
+    items, steps, ends = [], [], []  # (length, copies): numbers of each length in powers of two, and the rest; sums before each; items up to a length
     while left:
-        # Longest last: the path back meets them first and takes them, and short ones are left to fill gaps.
-        lengths = sorted(left)
-        items = []  # (length, copies): numbers of each length in powers of two, and the rest
-        for length in lengths:
+        # Sums of lengths before the first whose number of copies changed stay as they are.
+        del items[ends[sure - 1] if sure else 0 :], steps[ends[sure - 1] if sure else 0 :], ends[sure:]
+        reach = steps[-1] | steps[-1] << items[-1][0] * items[-1][1] & full if items else 1
+        for length in lengths[sure:]:
             most, size = min(left[length], capacity // length), 1
             while most:
                 take = min(size, most)
                 items.append((length, take))
+                steps.append(reach)
+                reach |= reach << length * take & full
                 most, size = most - take, size * 2
-        reach, steps = 1, []
-        for length, copies in items:
-            steps.append(reach)
-            reach |= reach << length * copies & full
+            ends.append(len(items))
         best, pattern = reach.bit_length() - 1, {}
         for (length, copies), before in zip(reversed(items), reversed(steps)):
+            if not best:
+                break
             if best >= length * copies and before >> best - length * copies & 1:
                 best -= length * copies
                 pattern[length] = pattern.get(length, 0) + copies
         times = min(left[k] // v for k, v in pattern.items())
+        sure = len(lengths)
         for k, v in pattern.items():
+            copies = min(left[k], capacity // k)
             left[k] -= v * times
+            if min(left[k], capacity // k) < copies:
+                sure = min(sure, bisect_left(lengths, k))
             if not left[k]:
                 del left[k]
+        lengths = lengths[:sure] + [k for k in lengths[sure:] if k in left]
         patterns.append((times, pattern))
     return patterns
 

@@ -349,3 +349,40 @@ def test_pipeline_stages(spark):
         elif name == "personal_data":
             assert rows.count() == before.count() and not [r for r in rows.collect() if plain_spans(r.text)]
     assert corpus_pipeline.packed(spark, rows, SF).select("doc_id").distinct().count() == rows.count()
+
+
+def test_the_packing_plan_computes_sums_again_only_from_the_first_changed_length(monkeypatch):
+    """Plans of many lengths take few sums (op4_packing), and are those of a plan that starts anew for each pattern."""
+
+    def anew(counts, capacity):
+        left, patterns = {k: v for k, v in counts.items() if v}, []
+        while left:
+            items, reach, steps, pattern = [], 1, [], {}
+            for length in sorted(left):
+                most, size = min(left[length], capacity // length), 1
+                while most:
+                    items.append((length, min(size, most)))
+                    most, size = most - min(size, most), size * 2
+            for length, copies in items:
+                steps.append(reach)
+                reach |= reach << length * copies & (1 << capacity + 1) - 1
+            best = reach.bit_length() - 1
+            for (length, copies), before in zip(reversed(items), reversed(steps)):
+                if best >= length * copies and before >> best - length * copies & 1:
+                    best -= length * copies
+                    pattern[length] = pattern.get(length, 0) + copies
+            times = min(left[k] // v for k, v in pattern.items())
+            left = {k: v - pattern.get(k, 0) * times for k, v in left.items() if v - pattern.get(k, 0) * times}
+            patterns.append((times, pattern))
+        return patterns
+
+    rng = np.random.default_rng(8)
+    for capacity in (8, 50, 300):
+        for _ in range(20):
+            lengths = rng.choice(np.arange(1, capacity + 1), rng.integers(0, capacity // 2 + 1), replace=False)
+            counts = {int(k): int(rng.choice([0, 1, 3, 40, 2000])) for k in lengths}
+            assert packing.plan(counts, capacity) == anew(counts, capacity)
+    taken = []
+    monkeypatch.setattr(packing, "min", lambda *a: taken.append(0) or min(*a) if len(a) > 1 else min(a[0]), raising=False)
+    patterns = packing.plan({k: 5000 if k < 50 else 1 for k in [*range(1, 50), *range(1000, 2000)]}, 4096)
+    assert len(patterns) > 300 and len(taken) < 300 * len(patterns)  # anew: more than 500 a pattern
