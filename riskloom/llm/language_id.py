@@ -133,7 +133,10 @@ def fit(docs: DataFrame, training: F.Column, bound: int = TRAINING_ROWS) -> Mode
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     picked = drawn.withColumn("place", place).where(F.col("place") <= 2 * bound).drop("place", "every", "h")
     sample = sparse_rows(picked, FEATURES, "lang")
-    return Model(sample) if sample else None
+    model = Model(sample) if sample else None
+    del sample
+    text_arrays.hand_back()
+    return model
 
 
 def identify(docs: DataFrame, model: Model | None, into: str = "language") -> DataFrame:

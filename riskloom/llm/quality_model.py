@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm import text_arrays
+from riskloom.llm import storage, text_arrays
 from riskloom.llm.hashed_features import Hashed
 
 #: Buckets (2 ** bits), width of a vector, passes over the sample, and step size.
@@ -34,8 +34,10 @@ def sparse_rows(rows: DataFrame, features: Hashed, target: str) -> list[tuple[np
             yield pa.RecordBatch.from_arrays([pa.array([a.tobytes() for a, _ in found], pa.binary()), pa.array([b.tobytes() for _, b in found], pa.binary()), batch.column(target)], names=["ids", "shares", "target"])
 
     kind = rows.schema[target].dataType.simpleString()
-    out = rows.select("text", target).mapInArrow(text_arrays.handing_back(run), f"ids binary, shares binary, target {kind}").collect()
-    out.sort(key=lambda r: (str(r.target), r.ids))  # the order of training doesn't depend on that of the tasks
+    found = rows.select("text", target).mapInArrow(text_arrays.handing_back(run), f"ids binary, shares binary, target {kind}")
+    # The driver takes a part at a time: its virtual machine never holds the whole sample beside Python's.
+    out = list(storage.stored(found, "sample").toLocalIterator())
+    out.sort(key=lambda r: (str(r.target), r.ids, r.shares))  # the order of training doesn't depend on that of the tasks
     return [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32), r.target) for r in out]
 
 
@@ -73,6 +75,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: F.Column, bound: int = TRA
     if not sample:
         return np.zeros(1 << BITS, np.float32), 0.0
     scores, bias = train(sample)
+    del sample
+    text_arrays.hand_back()
     return (scores[:, 1] - scores[:, 0]).astype(np.float32), float(bias[1] - bias[0])
 
 
