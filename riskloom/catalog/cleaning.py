@@ -203,13 +203,13 @@ SELECT {', '.join(RAW_TEXT)}, card_present, tokenised, cross_border, transaction
   {big('amount IS NULL OR amount <= 0', 'amount_invalid_flag')},
   {big('coalesce(std_amount_30d, 0) = 0', 'std_amount_30d_zero_flag')},
   {big('coalesce(mean_amount_30d, 0) = 0', 'mean_amount_30d_zero_flag')}, CAST(0 AS BIGINT) AS duplicate_row_flag FROM prep"""
-QUERIES["clean_raw_table"] = lambda s, d: plain(cleaning.clean_raw(raw_transactions(s, d)), "days_since_last_txn")
+QUERIES["clean_raw_table"] = lambda s, d: plain(cleaning.clean_raw(raw_transactions(s, d, passes=True)), "days_since_last_txn")
 SQL["clean_raw_table"] = chain("SELECT * FROM clean")
 
 
 # P15
 def _summary(s, d):
-    raw = raw_transactions(s, d).drop("event_id", "device_id", "merchant_id")
+    raw = raw_transactions(s, d, passes=True).drop("event_id", "device_id", "merchant_id")
     return cleaning.cleaning_summary(raw, cleaning.clean_raw(raw))
 
 
@@ -249,7 +249,7 @@ SQL["time_features"] = chain(
 
 # T4
 def _nights(s, d):
-    t = timing.time_features(raw_transactions(s, d).select("event_id", "local_timestamp", "night_ratio_30d"))
+    t = timing.time_features(raw_transactions(s, d, passes=True).select("event_id", "local_timestamp", "night_ratio_30d"))
     return timing.night_flags(t).select("event_id", "night_unusual_score", "is_night_unusual")
 
 

@@ -128,7 +128,7 @@ _PM_AUTO = [
 
 
 def _mined(s, d):
-    return stages.mine_patterns(prepared(s, d), _PM_CATEGORIES, _PM_NUMBERS)
+    return stages.mine_patterns(prepared(s, d, passes=True), _PM_CATEGORIES, _PM_NUMBERS)
 
 
 QUERIES["mining_patterns_categorical"] = lambda s, d: plain(_mined(s, d).categorical)
@@ -180,7 +180,7 @@ def _segment_sql(parts) -> str:
     return " AND ".join(out)
 
 
-QUERIES["mining_business_segments"] = lambda s, d: plain(segments.segment_report(features.amount_features(prepared(s, d))).drop("description"))
+QUERIES["mining_business_segments"] = lambda s, d: plain(segments.segment_report(features.amount_features(prepared(s, d, passes=True))).drop("description"))
 SQL["mining_business_segments"] = chain("\nUNION ALL ".join(_condition_sql(n, _segment_sql(parts), "amt", "segment_name", "-g") for n, (_, parts) in SEGMENTS.items()))
 
 
@@ -376,7 +376,7 @@ SQL["stability_stable_patterns"] = chain(
 
 # The whole stage on transactions: compared segments between train and validation
 def _stage(s, d, kind):
-    clean = prepared(s, d)
+    clean = prepared(s, d, passes=True)
     found = stages.stable_insights(clean, "event_id")
     return found.compared[kind]
 
