@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.fixed_values import BOOLEAN_TEXTS, MISSING_TEXTS, NUMERIC_COLUMNS
 from riskloom.functions.scalars import as_text, flag, is_text, number, one_row
 from riskloom.operators.parsing import parse_nested
-from riskloom.operators.profile import distinct_row_counts, missing_report
+from riskloom.operators.profile import distinct_row_counts, present_cells
 from riskloom.operators.timing import add_time_features
 
 # Fixed value: the characters stripped from both ends of a text.
@@ -19,7 +19,9 @@ COPIES_PER_PIECE = 100_000
 
 
 def normalize_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[n.strip().lower().replace(" ", "_").replace("-", "_") for n in df.columns])
+    names = [n.strip().lower().replace(" ", "_").replace("-", "_") for n in df.columns]
+    # A renaming to the same names would keep Spark from running the pass of ``flag_duplicates`` once for both its uses.
+    return df if names == df.columns else df.toDF(*names)
 
 
 def clean_text(df: DataFrame) -> DataFrame:
@@ -108,13 +110,11 @@ def clean_raw(
 
 
 def cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Before/after rows, columns and missing cells, and the flagged rows, as one row."""
+    """Before/after rows, columns and missing cells, and the flagged rows, as one row. Each table is read by one aggregation."""
 
     def totals(df: DataFrame, extra: list) -> DataFrame:
-        cells = missing_report(df).agg(
-            F.max(F.col("missing_count") + F.col("non_missing_count")).alias("rows"), F.sum("missing_count").alias("missing")
-        )
-        return cells.withColumn("flags", one_row(df.agg(*extra))) if extra else cells
+        cells = df.agg(F.count("*").alias("rows"), present_cells(df).alias("present"), *extra)
+        return cells.withColumn("missing", F.col("rows") * len(df.columns) - F.col("present"))
 
     flags = {"duplicate_row_flag": "duplicate_rows", "amount_invalid_flag": "invalid_amount_rows"}
     extra = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in flags.items() if c in cleaned.columns]
@@ -130,6 +130,6 @@ def cleaning_summary(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
             F.lit(len(cleaned.columns) - len(raw.columns)).cast("bigint").alias("new_columns_added"),
             F.col("before.missing").alias("raw_missing_values"),
             F.col("missing").alias("cleaned_missing_values"),
-            *[F.col(f"flags.{n}").alias(n) for c, n in flags.items() if c in cleaned.columns],
+            *[F.col(n) for c, n in flags.items() if c in cleaned.columns],
         )
     )

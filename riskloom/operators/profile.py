@@ -136,6 +136,11 @@ def target_distribution(df: DataFrame, target: str = TARGET) -> DataFrame:
     return grouped.withColumn("total", total).select(target, "count", share(F.col("count"), F.col("total.n")).alias("rate"))
 
 
+def present_cells(df: DataFrame) -> Column:
+    """How many cells of the table hold a value, as one aggregate."""
+    return sum((F.count(_seen(df, n)) for n in df.columns), F.lit(0).cast("bigint"))
+
+
 def missing_report(df: DataFrame) -> DataFrame:
     figures = {n: {"non_missing_count": F.count(_seen(df, n))} for n in df.columns}
     out = _rows_per_column(df, figures, {"num_rows": F.count("*")})
