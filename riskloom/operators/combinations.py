@@ -122,7 +122,8 @@ def categorical_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]] = MINED_PA
         .agg(F.count("*").alias("support"), F.sum("y").alias("hits"))
     )
     first = (F.col("feature_a") == have[0][0]) & (F.col("feature_b") == have[0][1])
-    totals = one_row(grouped.where(first).agg(F.sum("support").alias("n"), F.sum("hits").alias("s")))
+    # Nothing is filtered before the sums: totals and pairs then have the same plan below, which Spark runs once.
+    totals = one_row(grouped.agg(*[F.sum(F.when(first, F.col(c))).alias(n) for c, n in (("support", "n"), ("hits", "s"))]))
 
     def term(side: str) -> Column:
         return F.concat(F.col(f"feature_{side}"), F.lit("="), F.coalesce(F.col(f"value_{side}"), F.lit("nan")))

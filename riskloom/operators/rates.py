@@ -60,14 +60,15 @@ def with_risk_metrics(report: DataFrame, overall: Column) -> DataFrame:
 
 
 def _finish(grouped: DataFrame, features: list[str], rates: dict, keep: list[str], usable: Column | None = None) -> DataFrame:
-    """Attach the totals of one feature's groups (all rows are in them) and keep groups large enough."""
-    totals = one_row(
-        grouped.where(F.col("feature") == features[0]).agg(
-            F.sum("all_rows").alias("rows"), F.sum("count").alias("n"), F.sum("fraud_count").alias("s")
-        )
-    )
+    """Attach the totals of one feature's groups (all rows are in them) and keep groups large enough.
+
+    Spark runs the pass over the table once for groups and totals if both have the same plan below. So the totals filter nothing before
+    they sum, and both sides use all three counts. (Bins without a value are filtered before they are grouped: a pass of their own.)
+    """
+    first, summed = F.col("feature") == features[0], {"all_rows": "rows", "count": "n", "fraud_count": "s"}
+    totals = one_row(grouped.agg(*[F.sum(F.when(first, F.col(c))).alias(n) for c, n in summed.items()]))
     out = grouped.withColumn("totals", totals)
-    big = F.col("count") >= least_count(F.col("totals.rows"), rates["min_count"], rates["ratio"], rates["default"])
+    big = (F.col("all_rows") > 0) & (F.col("count") >= least_count(F.col("totals.rows"), rates["min_count"], rates["ratio"], rates["default"]))
     out = out.where(big if usable is None else big & usable)
     out = out.withColumn("fraud_rate", share(F.col("fraud_count"), F.col("count")))
     out = with_risk_metrics(out, share(F.col("totals.s"), F.col("totals.n")))

@@ -8,8 +8,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.fixed_values import AUTO_CATEGORICAL, AUTO_NUMERIC, MINED_CATEGORICAL, MINED_NUMERIC, TARGET
+from riskloom.fixed_values import (
+    AUTO_CATEGORICAL,
+    AUTO_NUMERIC,
+    MINED_CATEGORICAL,
+    MINED_NUMERIC,
+    MINED_PAIRS,
+    PRIORITY_RULES,
+    SEGMENTS,
+    SPENDING_COLUMNS,
+    TARGET,
+)
+from riskloom.functions.scalars import is_text
 from riskloom.operators import cleaning, combinations, features, profile, rates, rules, segments, splitting, stability
+from riskloom.sources.tables import written_once
 
 
 @dataclass
@@ -60,12 +72,14 @@ def stable_insights(clean: DataFrame, tie: str, target: str = TARGET, bins: int
     Segments compare with each part's own quantiles.
     """
     table, summary = splitting.split_table(features.amount_features(clean), tie, "time", target)
-    train, valid = (table.where(F.col("split") == s) for s in ("train", "validation"))
-    thresholds = features.fit_thresholds(train)
-    parts = {
-        name: features.interaction_features(features.behavior_features(part, thresholds)) for name, part in (("train", train), ("valid", valid))
-    }
-    train_sum, valid_sum = (rates.global_summary(p, target, default=d).first() for p, d in ((train, 100), (valid, 50)))
+    thresholds = features.fit_thresholds(table.where(F.col("split") == "train"))
+    # All reports read these rows, so they are derived once. Texts that no report reads are left out.
+    full = features.interaction_features(features.behavior_features(table.where(F.col("split").isin("train", "validation")), thresholds))
+    read = {target, "split", *MINED_CATEGORICAL, *[c for pair in MINED_PAIRS for c in pair], *[source for _, terms in SEGMENTS.values() for _, source, _ in terms]}
+    read |= {*MINED_NUMERIC, *SPENDING_COLUMNS, *[f for rule in PRIORITY_RULES.values() for f in rule]}
+    full = written_once(full.select(*[c for c in full.columns if c in read or not is_text(full, c)]))
+    parts = {name: full.where(F.col("split") == split) for name, split in (("train", "train"), ("valid", "validation"))}
+    train_sum, valid_sum = (rates.global_summary(p, target, default=d).first() for p, d in ((parts["train"], 100), (parts["valid"], 50)))
     least = {"train": train_sum["min_count"], "valid": valid_sum["min_count"]}
     edges = stability.train_edges(parts["train"], [c for c in MINED_NUMERIC if c in parts["train"].columns], bins)
     flags = combinations.flag_columns(parts["train"])
