@@ -46,8 +46,22 @@ def basic_shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("num_rows")).withColumn("num_columns", F.lit(len(df.columns)).cast("bigint"))
 
 
-def _distinct(c: Column, approximate: bool) -> Column:
-    return F.approx_count_distinct(c) if approximate else F.count_distinct(c)
+def _distinct_values(df: DataFrame) -> DataFrame:
+    """Exact number of distinct values per column that has any.
+
+    Columns of one type become rows of a place and a value, so a row of the shuffle holds one value and not all columns.
+    """
+    kinds: dict[str, list[int]] = {}
+    for i, (_, kind) in enumerate(df.dtypes):
+        kinds.setdefault(kind, []).append(i)
+    counted = None
+    for places in kinds.values():
+        values = df.select(*[_seen(df, df.columns[i]).alias(str(i)) for i in places])
+        rows = values.unpivot([], [str(i) for i in places], "place", "value") if len(places) > 1 else values.toDF("value").withColumn("place", F.lit(str(places[0])))
+        found = rows.where(F.col("value").isNotNull()).groupBy("place", "value").agg(F.lit(1).alias("one")).groupBy("place").agg(F.count("*").alias("unique_count"))
+        counted = found if counted is None else counted.unionByName(found)
+    names = F.array(*[F.lit(n) for n in df.columns])
+    return counted.select(F.get(names, F.col("place").cast("int")).alias("column"), "unique_count")
 
 
 def column_types(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -56,11 +70,13 @@ def column_types(df: DataFrame, approximate: bool = False) -> DataFrame:
     Exact distinct counts of all columns shuffle each (column, value) once; ``approximate`` keeps
     one bounded sketch per column instead.
     """
-    figures = {
-        n: {"non_null_count": F.count(_seen(df, n)), "unique_count": _distinct(_seen(df, n), approximate)}
-        for n in df.columns
-    }
+    figures = {n: {"non_null_count": F.count(_seen(df, n))} for n in df.columns}
+    if approximate:
+        for n in df.columns:
+            figures[n]["unique_count"] = F.approx_count_distinct(_seen(df, n))
     out = _rows_per_column(df, figures, {"num_rows": F.count("*")})
+    if not approximate:
+        out = out.join(F.broadcast(_distinct_values(df)), "column", "left").withColumn("unique_count", F.coalesce("unique_count", F.lit(0).cast("bigint")))
     kinds = F.create_map(*[F.lit(x) for n, k in df.dtypes for x in (n, k)])
     return out.select(
         "column",
