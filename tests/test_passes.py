@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.catalog import common
-from riskloom.operators import cleaning, combinations, profile, rates
+from riskloom.operators import cleaning, combinations, features, models, profile, rates
 
 EVENTS = [(i, f"2024-01-{1 + i % 28:02d} {i % 24:02d}:00:00", i % 7, "error" if i % 5 == 0 else "view", 1.5 * (i % 40), f'{{"k": {i % 50}}}') for i in range(300)]
 
@@ -63,3 +63,15 @@ def test_distinct_counts_shuffle_single_values(spark, fixed_plans):
     assert not any("Expand" in line and all(f"{c}#" in line for c in ("i", "s", "j")) for line in plan(report).split("\n"))
     got = {r["column"]: (r["non_null_count"], r["null_count"], r["unique_count"]) for r in report.collect()}
     assert got == {"i": (3, 1, 2), "d.x": (3, 1, 2), "s": (3, 1, 2), "j": (4, 0, 2), "e": (0, 4, 0)}
+
+
+def test_fit_encodes_rows_once(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("cast(id % 37 as double) AS x", "cast(id % 3 as string) AS kind", "cast(id % 37 > 20 as int) AS fraud")
+    asked = []
+    for kind in ("LogisticRegression", "RandomForestClassifier"):
+        fit = getattr(models, kind).fit
+        monkeypatch.setattr(getattr(models, kind), "fit", lambda self, df, params=None, fit=fit: asked.append((plan(df), df.storageLevel.useMemory)) or fit(self, df))
+    chosen = features.FeatureSet("fraud", ["x"], ["kind"], [], [])
+    models.fit_model(rows, chosen, "lr", {"max_iter": 5}, min_frequency=5)
+    forest = models.fit_model(rows, chosen, "rf", {"n_estimators": 3, "max_depth": 3}, min_frequency=5)
+    assert "UDF" not in asked[0][0] and asked[1][1] and forest.classifier.getCacheNodeIds()
