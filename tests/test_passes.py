@@ -65,6 +65,19 @@ def test_distinct_counts_shuffle_single_values(spark, fixed_plans):
     assert got == {"i": (3, 1, 2), "d.x": (3, 1, 2), "s": (3, 1, 2), "j": (4, 0, 2), "e": (0, 4, 0)}
 
 
+def test_fits_read_parsed_train_rows_once(spark, tmp_path):
+    rows = spark.createDataFrame(EVENTS, "event_id long, ts string, user_id long, event_type string, value double, props string")
+    rows.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    whole, limits = common.featured(spark, str(tmp_path))
+    for train in (True, False):
+        table, thresholds = common.fit_rows(spark, str(tmp_path), train)
+        assert thresholds == limits and "from_json" not in plan(table)
+        chosen, known = features.resolve_feature_set(table), features.resolve_feature_set(whole)
+        assert chosen.all_model_features == known.all_model_features
+        got, wanted = (sorted(map(str, features.select_model_columns(t, known, ("event_id", "split")).collect())) for t in (table, common.train_rows(whole) if train else whole))
+        assert got == wanted
+
+
 def test_fit_encodes_rows_once(spark, monkeypatch):
     rows = spark.range(400).selectExpr("cast(id % 37 as double) AS x", "cast(id % 3 as string) AS kind", "cast(id % 37 > 20 as int) AS fraud")
     asked = []
