@@ -21,6 +21,8 @@ from riskloom.functions.bins import segment_index
 
 SKETCH_ACCURACY = 10_000
 RESOLVE_LIMIT = 1_000_000
+#: Least number of partitions that sketches are taken of, where there are as many.
+SKETCHES = 16
 
 
 class Found(NamedTuple):
@@ -59,7 +61,8 @@ def _narrow(base: DataFrame, wide: list[_Bracket], found: dict, accuracy: int) -
         )
         value = F.when(b.holds(F.col(b.column)), F.col(b.column))
         sketches.append(F.percentile_approx(value, grid, accuracy).alias(f"s{i}"))
-    proposed = base.agg(*sketches).first()
+    # One task merges the sketches of all partitions: their number is bounded by the cores, not by the input.
+    proposed = base.coalesce(max(SKETCHES, base.sparkSession.sparkContext.defaultParallelism)).agg(*sketches).first()
 
     # Brackets of one column are disjoint, so one sorted list of points per column covers them all.
     points: dict[str, list] = {}

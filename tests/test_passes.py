@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.catalog import common
+from riskloom.functions import order_stats
 from riskloom.operators import cleaning, combinations, features, models, profile, rates
 
 EVENTS = [(i, f"2024-01-{1 + i % 28:02d} {i % 24:02d}:00:00", i % 7, "error" if i % 5 == 0 else "view", 1.5 * (i % 40), f'{{"k": {i % 50}}}') for i in range(300)]
@@ -78,6 +79,14 @@ def test_fits_read_parsed_train_rows_once(spark, tmp_path):
         assert got == wanted
 
 
+def test_sketches_of_many_partitions_are_merged_in_bounded_number(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(type(spark.range(1)), "coalesce", lambda df, n, plain=type(spark.range(1)).coalesce: seen.append(n) or plain(df, n))
+    rows = spark.range(2000).select((F.col("id") % 501).cast("double").alias("x")).repartition(64)
+    assert order_stats.quantiles(rows, {"x": F.col("x")}, [0.0, 0.5, 1.0], resolve_limit=100)["x"] == [0.0, 249.5, 500.0]
+    assert seen and max(seen) <= max(order_stats.SKETCHES, spark.sparkContext.defaultParallelism)
+
+
 def test_fit_encodes_rows_once(spark, monkeypatch):
     rows = spark.range(400).selectExpr("cast(id % 37 as double) AS x", "cast(id % 3 as string) AS kind", "cast(id % 37 > 20 as int) AS fraud")
     asked = []
